@@ -22,6 +22,7 @@ from ordertide.plans import views as V
 from ordertide.session import configure, work_dir
 from ordertide.sinks.tables import fan_out, read_batches, write_batch
 from ordertide.sources.decode import accepted, decode_mid, decode_raw
+from ordertide.sources.dimension import DimProvider
 from ordertide.sources.synth import synthetic_events as generate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -167,7 +168,8 @@ def agg_null_policy(spark: SparkSession, sf: str) -> DataFrame:
 
 def enriched_events(spark: SparkSession, sf: str) -> DataFrame:
     events = V.src_events(spark, sf).select("event_id", "biz_type", "customer_id", "amount", "event_time")
-    return enrich.enrich(events, V.dim_customer(spark, sf))
+    dims = DimProvider(lambda: V.dim_customer(spark, sf))
+    return enrich.enrich(events, dims.get(REPORT_NOW))
 
 
 def lookup_miss_count(spark: SparkSession, sf: str) -> DataFrame:

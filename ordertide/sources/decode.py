@@ -34,19 +34,21 @@ def decode_raw(df: DataFrame, now: datetime | Column) -> DataFrame:
     One field of the wrong kind spoils the whole row. A missing event time becomes
     ``now``. Input columns are kept; ``reject_reason`` is null for accepted rows.
     """
-    m = F.col("_m")
-    texts = {col: J.text(m, raw) for raw, col in S.RAW_FIELDS.items()}
-    nested = F.lit(False)
+    m, text = F.col("_m"), {col: F.col(f"_t_{col}") for col in S.RAW_FIELDS.values()}
+    read = _fields(
+        _parsed(df, df.columns), {f"_t_{col}": J.text(m, raw) for raw, col in S.RAW_FIELDS.items()}
+    )
+    # Only a row without an id can be something else than an object.
+    odd = text["event_id"].isNull() & ~J.is_object(m)
     for raw in ("eventId", "bizType", "bizKey", "traceId"):
-        nested = nested | J.is_nested(m, raw, texts[S.RAW_FIELDS[raw]])
+        odd = odd | J.is_nested(m, raw, text[S.RAW_FIELDS[raw]])
     typed = _fields(
-        _parsed(df, df.columns),
+        read,
         {
-            **{f"_t_{col}": text for col, text in texts.items()},
-            "customer_id": J.number(m, "customerId", texts["customer_id"], "bigint"),
-            "amount": J.number(m, "amount", texts["amount"], AMOUNT_TYPE),
-            "_wall": parse_wall(texts["event_time"]),
-            "_odd": ~J.is_object(m) | nested,
+            "customer_id": J.number(m, "customerId", text["customer_id"], "bigint"),
+            "amount": J.number(m, "amount", text["amount"], AMOUNT_TYPE),
+            "_wall": parse_wall(text["event_time"]),
+            "_odd": odd,
         },
     )
 
@@ -88,14 +90,20 @@ def decode_mid(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse snake_case messages. A bad field becomes null and the rest is kept;
     a row without any usable field is skipped. ``keep`` names input columns to carry along."""
     m = F.col("_m")
-    texts = {f: J.text(m, f) for f in S.EVENT.names}
-    events = _fields(
-        _parsed(df, keep),
+    read = _fields(_parsed(df, keep), {f"_t_{f}": J.text(m, f) for f in S.EVENT.names})
+    typed = _fields(
+        read,
         {
-            **{f: texts[f] for f in ("event_id", "biz_type", "biz_key")},
-            "customer_id": J.number(m, "customer_id", texts["customer_id"], "bigint"),
-            "amount": J.number(m, "amount", texts["amount"], AMOUNT_TYPE),
-            "event_time": parse_mid_time(texts["event_time"]),
+            "customer_id": J.number(m, "customer_id", F.col("_t_customer_id"), "bigint"),
+            "amount": J.number(m, "amount", F.col("_t_amount"), AMOUNT_TYPE),
+            "event_time": parse_mid_time(F.col("_t_event_time")),
         },
-    ).drop("_m")
+    )
+    events = typed.select(
+        *keep,
+        *[F.col(f"_t_{f}").alias(f) for f in ("event_id", "biz_type", "biz_key")],
+        "customer_id",
+        "amount",
+        "event_time",
+    )
     return events.filter(F.coalesce(*[F.col(c).cast("string") for c in S.EVENT.names]).isNotNull())
