@@ -14,8 +14,9 @@ def spark(tmp_path_factory):
         "tests",
         master="local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),
         },
