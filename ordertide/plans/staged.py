@@ -18,7 +18,7 @@ from ordertide.sinks.tables import ensure_dir, read_batches, read_latest, write_
 from ordertide.sources.decode import decode_mid
 from ordertide.sources.topic import read_message_files
 from ordertide.streaming.aggregate import aggregate_stream, aggregate_writer
-from ordertide.streaming.ingest import IngestTables, ingest_writer
+from ordertide.streaming.ingest import IngestTables, ingest_stream, ingest_writer
 from ordertide.streaming.runner import catch_up
 
 # An event this late closes every real minute; it is filtered out of the result.
@@ -92,8 +92,8 @@ def restart_no_dup(spark: SparkSession, sf: str) -> DataFrame:
         for attempt in range(2):
             try:
                 catch_up(
-                    read_message_files(spark, source), ingest_writer(tables, after=crash), checkpoint,
-                    tables=tables.all(),
+                    ingest_stream(read_message_files(spark, source)), ingest_writer(tables, after=crash),
+                    checkpoint, tables=tables.all(),
                 )
             except StreamingQueryException:
                 if attempt == 1 or not crash.failed:
@@ -116,7 +116,8 @@ def replay_no_growth(spark: SparkSession, sf: str) -> DataFrame:
     for n, sent in enumerate((messages, again)):
         _stage(sent, source)
         catch_up(
-            read_message_files(spark, source), ingest_writer(tables), checkpoint, tables=tables.all()
+            ingest_stream(read_message_files(spark, source)), ingest_writer(tables), checkpoint,
+            tables=tables.all(),
         )
         counts.append(table_counts({
             "ledger": read_batches(spark, tables.ledger, S.LEDGER, before=n + 1),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -13,19 +12,11 @@ from ordertide.functions import json_fields as J
 from ordertide.functions.clock import as_instant, parse_mid_time, parse_wall, shanghai_to_utc
 from ordertide.functions.text import order_id
 
-AMOUNT_TYPE = "decimal(18,4)"
 
-
-def _parsed(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Parse each message once. A one-element explode keeps later filters and
-    projections from being folded back into repeated parses of the text."""
-    return df.select(*keep, F.explode(F.array(J.parse(F.col("value")))).alias("_m"))
-
-
-def _fields(parsed: DataFrame, fields: dict[str, Column]) -> DataFrame:
-    """Read the fields of a parsed message once, for the same reason as above."""
-    row = F.struct(*[col.alias(name) for name, col in fields.items()])
-    return parsed.select("*", F.inline(F.array(row)))
+def _once(df: DataFrame, name: str, col: Column) -> DataFrame:
+    """Add a column that is computed once per row. A one-element explode keeps later filters
+    and projections from being folded into repeated parses of the same text."""
+    return df.select("*", F.explode(F.array(col)).alias(name))
 
 
 def decode_raw(df: DataFrame, now: datetime | Column) -> DataFrame:
@@ -34,49 +25,45 @@ def decode_raw(df: DataFrame, now: datetime | Column) -> DataFrame:
     One field of the wrong kind spoils the whole row. A missing event time becomes
     ``now``. Input columns are kept; ``reject_reason`` is null for accepted rows.
     """
-    m, text = F.col("_m"), {col: F.col(f"_t_{col}") for col in S.RAW_FIELDS.values()}
-    read = _fields(
-        _parsed(df, df.columns), {f"_t_{col}": J.text(m, raw) for raw, col in S.RAW_FIELDS.items()}
-    )
-    # Only a row without an id can be something else than an object.
-    odd = text["event_id"].isNull() & ~J.is_object(m)
+    value, m = F.col("value"), F.col("_m")
+    text = {col: m[raw] for raw, col in S.RAW_FIELDS.items()}
+    read = _once(df, "_m", J.parse(value, list(S.RAW_FIELDS)))
+    odd = ~J.is_object(m)
     for raw in ("eventId", "bizType", "bizKey", "traceId"):
-        odd = odd | J.is_nested(m, raw, text[S.RAW_FIELDS[raw]])
-    typed = _fields(
-        read,
-        {
-            "customer_id": J.number(m, "customerId", text["customer_id"], "bigint"),
-            "amount": J.number(m, "amount", text["amount"], AMOUNT_TYPE),
-            "_wall": parse_wall(text["event_time"]),
-            "_odd": odd,
-        },
-    )
-
-    def misfit(text_col: str, value_col: str) -> Column:
-        return J.given(F.col(text_col)) & F.col(value_col).isNull()
+        odd = odd | J.is_nested(value, raw, text[S.RAW_FIELDS[raw]])
+    typed = _once(read, "_t", F.struct(
+        J.integer(value, "customerId", text["customer_id"]).alias("customer_id"),
+        J.decimal(value, "amount", text["amount"]).alias("amount"),
+        parse_wall(text["event_time"]).alias("wall"),
+        odd.alias("odd"),
+    ))
+    t = F.col("_t")
+
+    def misfit(name: str, read_as: Column) -> Column:
+        return J.given(text[name]) & read_as.isNull()
 
     malformed = (
-        F.col("_odd")
-        | misfit("_t_customer_id", "customer_id")
-        | misfit("_t_amount", "amount")
-        | misfit("_t_event_time", "_wall")
+        t["odd"]
+        | misfit("customer_id", t["customer_id"])
+        | misfit("amount", t["amount"])
+        | misfit("event_time", t["wall"])
     )
-    event_id, key = F.col("_t_event_id"), F.col("_t_biz_key")
+    event_id, key = text["event_id"], text["biz_key"]
     reason = (
         F.when(malformed, "malformed")
         .when(event_id.isNull() | (event_id == ""), "missing_event_id")
         .when(order_id(key).isNull(), "bad_biz_key")
-        .when(F.col("_t_biz_type").isNull() | F.col("customer_id").isNull(), "null_required")
+        .when(text["biz_type"].isNull() | t["customer_id"].isNull(), "null_required")
     )
     return typed.select(
         *df.columns,
         event_id.alias("event_id"),
-        F.col("_t_biz_type").alias("biz_type"),
+        text["biz_type"].alias("biz_type"),
         key.alias("biz_key"),
-        "customer_id",
-        "amount",
-        F.coalesce(shanghai_to_utc(F.col("_wall")), as_instant(now)).alias("event_time"),
-        F.col("_t_trace_id").alias("trace_id"),
+        t["customer_id"].alias("customer_id"),
+        t["amount"].alias("amount"),
+        F.coalesce(shanghai_to_utc(t["wall"]), as_instant(now)).alias("event_time"),
+        text["trace_id"].alias("trace_id"),
         reason.alias("reject_reason"),
     )
 
@@ -89,21 +76,16 @@ def accepted(decoded: DataFrame) -> DataFrame:
 def decode_mid(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse snake_case messages. A bad field becomes null and the rest is kept;
     a row without any usable field is skipped. ``keep`` names input columns to carry along."""
-    m = F.col("_m")
-    read = _fields(_parsed(df, keep), {f"_t_{f}": J.text(m, f) for f in S.EVENT.names})
-    typed = _fields(
-        read,
-        {
-            "customer_id": J.number(m, "customer_id", F.col("_t_customer_id"), "bigint"),
-            "amount": J.number(m, "amount", F.col("_t_amount"), AMOUNT_TYPE),
-            "event_time": parse_mid_time(F.col("_t_event_time")),
-        },
-    )
-    events = typed.select(
+    value, m = F.col("value"), F.col("_m")
+    read = _once(df.select(*keep, "value"), "_m", J.parse(value, S.EVENT.names))
+    typed = _once(read, "_t", F.struct(
+        J.integer(value, "customer_id", m["customer_id"]).alias("customer_id"),
+        J.decimal(value, "amount", m["amount"]).alias("amount"),
+        parse_mid_time(m["event_time"]).alias("event_time"),
+    ))
+    events = typed.filter(J.is_object(m)).select(
         *keep,
-        *[F.col(f"_t_{f}").alias(f) for f in ("event_id", "biz_type", "biz_key")],
-        "customer_id",
-        "amount",
-        "event_time",
+        *[m[f].alias(f) for f in ("event_id", "biz_type", "biz_key")],
+        *[F.col("_t")[f].alias(f) for f in ("customer_id", "amount", "event_time")],
     )
     return events.filter(F.coalesce(*[F.col(c).cast("string") for c in S.EVENT.names]).isNotNull())

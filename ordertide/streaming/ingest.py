@@ -56,6 +56,12 @@ class IngestTables:
         return read_batches(spark, path, schema)
 
 
+def ingest_stream(messages: DataFrame) -> DataFrame:
+    """The streaming part of query 1, planned once and run for every batch. An event
+    without a time gets its arrival time, which a replay finds again."""
+    return decode_raw(messages, F.col("arrival_ts"))
+
+
 def unclaimed(firsts: DataFrame, ledger: DataFrame, horizon: str = LEDGER_HORIZON) -> DataFrame:
     """K2 W4 for one micro-batch: rows whose id no ledger row within the horizon holds.
 
@@ -95,7 +101,7 @@ def ingest_writer(
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
     after: Callable[[str, int], None] = lambda step, batch_id: None,
 ) -> BatchWriter:
-    """The ``foreachBatch`` function of query 1.
+    """The ``foreachBatch`` function of query 1, for batches of :func:`ingest_stream`.
 
     Every write is a function of the batch's input and of earlier batches, so a batch that
     broke off anywhere is simply run again: committed folders stay, missing ones are
@@ -106,7 +112,7 @@ def ingest_writer(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, now = batch.sparkSession, clock()
         publish_mid = publish or (lambda df, n: write_batch(df, tables.mid, n))
-        decoded = decode_raw(batch, F.col("arrival_ts")).persist()
+        decoded = batch.persist()
         firsts = first_per_key(accepted(decoded), "event_id", ARRIVAL_ORDER).persist()
         earlier_claims = read_batches(spark, tables.ledger, S.LEDGER, before=batch_id)
         claims = unclaimed(firsts, earlier_claims, horizon).persist()

@@ -28,113 +28,76 @@ def decode(spark, *values):
     return decode_raw(df, NOW).orderBy("offset")
 
 
-def one(spark, value):
-    return decode(spark, value).first()
-
-
-def test_regular_message(spark):
-    row = one(spark, message())
-    assert row.reject_reason is None
-    assert (row.event_id, row.biz_type, row.biz_key, row.customer_id) == ("e-1", "ORDER", "order-0000000007", 42)
-    assert row.amount == Decimal("128.3200")
-    assert row.trace_id == "t"
-
-
-@pytest.mark.parametrize("value", ["{bad", "null", "[]", "3", "", None, '"text"', "[1,2]", "{'eventId':'a'}"])
-def test_not_an_event(spark, value):
-    assert one(spark, value).reject_reason == "malformed"
-
-
-@pytest.mark.parametrize("event_id, reason", [
-    (None, "missing_event_id"), ('""', "missing_event_id"), ("null", "missing_event_id"), ('" "', None),
-])
-def test_event_id(spark, event_id, reason):
-    assert one(spark, message(eventId=event_id)).reject_reason == reason
-
-
-def test_numeric_event_id_becomes_text(spark):
-    assert one(spark, message(eventId="12")).event_id == "12"
-
-
-def test_unknown_fields_are_ignored(spark):
-    assert one(spark, message(extra='{"eventId":[1],"x":{"y":2}}')).reject_reason is None
-
-
-@pytest.mark.parametrize("raw, expected", [
-    ("42", 42), ('"42"', 42), ("42.7", 42), ("-42.7", -42), ('" 42 "', 42), ("1e3", 1000),
-])
-def test_customer_id(spark, raw, expected):
-    row = one(spark, message(customerId=raw))
-    assert (row.reject_reason, row.customer_id) == (None, expected)
-
-
-@pytest.mark.parametrize("raw, reason", [
-    ('"x"', "malformed"), ('"42.7"', "malformed"), ("true", "malformed"), ("[1]", "malformed"),
-    ('{"a":1}', "malformed"), ("9223372036854775808", "malformed"), ("null", "null_required"),
-    ('""', "null_required"), (None, "null_required"),
-])
-def test_customer_id_refused(spark, raw, reason):
-    assert one(spark, message(customerId=raw)).reject_reason == reason
-
-
-@pytest.mark.parametrize("raw, expected", [
-    ("99.50", "99.5000"), ('"99.50"', "99.5000"), ('"1.23456"', "1.2346"), ('"1.23445"', "1.2345"),
-    ('"-1.23445"', "-1.2345"), ('"1e2"', "100.0000"), ("12345678901234.5678", "12345678901234.5678"),
-    ('""', None), ("null", None), (None, None),
-])
-def test_amount(spark, raw, expected):
-    row = one(spark, message(amount=raw))
-    assert row.reject_reason is None
-    assert row.amount == (Decimal(expected) if expected else None)
-
-
-@pytest.mark.parametrize("raw", ['"abc"', '"NaN"', "true", "100000000000000", '"1e30"', "{}", "[]"])
-def test_amount_refused(spark, raw):
-    assert one(spark, message(amount=raw)).reject_reason == "malformed"
-
-
-@pytest.mark.parametrize("raw, order_reason", [
-    ('"o-1"', None), ('"77"', None), ('"a-b-9"', None), ('"order-x"', "bad_biz_key"), ('"order-"', "bad_biz_key"),
-    ('"order- 5"', "bad_biz_key"), ('"order-99999999999999999999"', "bad_biz_key"), ("null", "bad_biz_key"),
-    (None, "bad_biz_key"), ('{"a":1}', "malformed"),
-])
-def test_biz_key(spark, raw, order_reason):
-    assert one(spark, message(bizKey=raw)).reject_reason == order_reason
-
-
-def test_biz_type_required(spark):
-    assert one(spark, message(bizType="null")).reject_reason == "null_required"
-
-
-def test_event_time(spark):
-    rows = decode(spark, message(), message(eventTime="null"), message(eventTime='""')).collect()
-    assert [r.reject_reason for r in rows] == [None] * 3
-    times = decode(spark, message(), message(eventTime="null")).select(
-        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("t")).collect()
-    assert [r.t for r in times] == ["2026-05-09 02:00:00", "2026-05-09 03:00:00"]
-
-
-@pytest.mark.parametrize("raw", [
-    '"2026-05-09T10:00:00"', '"2026-05-09 10:00"', '"2026-13-09 10:00:00"', '"2026-05-09 10:00:00.5"',
-    '"2026-05-09 25:00:00"', "20260509", '"2026-05-09 10:00:00Z"',
-])
-def test_event_time_refused(spark, raw):
-    assert one(spark, message(eventTime=raw)).reject_reason == "malformed"
-
-
-def test_nested_text_field_refused_but_bracketed_text_kept(spark):
-    assert one(spark, message(traceId='{"x":1}')).reject_reason == "malformed"
-    row = one(spark, message(traceId='"{not an object}"'))
-    assert (row.reject_reason, row.trace_id) == (None, "{not an object}")
-
-
-def test_repeated_field_keeps_its_last_value(spark):
-    assert one(spark, '{"eventId":"a",' + message(eventId='"b"')[1:]).event_id == "b"
+def case(label, value, reason=None, **fields):
+    return pytest.param(value, reason, fields, id=label)
+
+
+def amount(text):
+    return None if text is None else Decimal(text)
+
+
+CASES = [
+    case("regular", message(), event_id="e-1", biz_type="ORDER", biz_key="order-0000000007", customer_id=42,
+         amount=amount("128.3200"), trace_id="t", time="2026-05-09 02:00:00"),
+    *[case(f"not-an-event-{v}", v, "malformed")
+      for v in ("{bad", "null", "[]", "3", "", "  ", None, '"text"', "[1,2]", "{'eventId':'a'}", '{"eventId":"a"')],
+    case("no-id", message(eventId=None), "missing_event_id"),
+    case("empty-id", message(eventId='""'), "missing_event_id"),
+    case("null-id", message(eventId="null"), "missing_event_id"),
+    case("blank-id", message(eventId='" "'), event_id=" "),
+    case("numeric-id", message(eventId="12"), event_id="12"),
+    case("unknown-fields", message(extra='{"eventId":[1],"x":{"y":2}}'), event_id="e-1"),
+    case("repeated-field", '{"eventId":"a",' + message(eventId='"b"')[1:], event_id="b"),
+    case("nested-text-field", message(traceId='{"x":1}'), "malformed"),
+    case("list-as-id", message(eventId="[1]"), "malformed"),
+    case("bracketed-text", message(traceId='"{not an object}"'), trace_id="{not an object}"),
+    *[case(f"customer-{raw}", message(customerId=raw), customer_id=n)
+      for raw, n in (("42", 42), ('"42"', 42), ("42.7", 42), ("-42.7", -42), ('" 42 "', 42), ("1e3", 1000))],
+    *[case(f"customer-{raw}", message(customerId=raw), "malformed")
+      for raw in ('"x"', '"42.7"', "true", "[1]", '{"a":1}', "9223372036854775808")],
+    *[case(f"customer-{raw}", message(customerId=raw), "null_required") for raw in ("null", '""', None)],
+    *[case(f"amount-{raw}", message(amount=raw), amount=amount(n))
+      for raw, n in (
+          ("99.50", "99.5000"), ('"99.50"', "99.5000"), ('"1.23456"', "1.2346"), ('"1.23445"', "1.2345"),
+          ("1.23456", "1.2346"), ('"-1.23445"', "-1.2345"), ('"1e2"', "100.0000"), ("1e2", "100.0000"),
+          ("12345678901234.5678", "12345678901234.5678"), ('"12345678901234.5678"', "12345678901234.5678"),
+          ("0.12344999999999999999", "0.1234"), ('""', None), ("null", None), (None, None),
+      )],
+    *[case(f"amount-{raw}", message(amount=raw), "malformed")
+      for raw in ('"abc"', '"NaN"', "NaN", "true", "100000000000000", '"1e30"', "{}", "[]")],
+    *[case(f"key-{raw}", message(bizKey=raw), biz_key=raw.strip('"')) for raw in ('"o-1"', '"77"', '"a-b-9"')],
+    *[case(f"key-{raw}", message(bizKey=raw), "bad_biz_key")
+      for raw in ('"order-x"', '"order-"', '"order- 5"', '"order-99999999999999999999"', "null", None)],
+    case("nested-key", message(bizKey='{"a":1}'), "malformed"),
+    case("no-type", message(bizType="null"), "null_required"),
+    case("null-time", message(eventTime="null"), time="2026-05-09 03:00:00"),
+    case("empty-time", message(eventTime='""'), time="2026-05-09 03:00:00"),
+    *[case(f"time-{raw}", message(eventTime=raw), "malformed")
+      for raw in (
+          '"2026-05-09T10:00:00"', '"2026-05-09 10:00"', '"2026-13-09 10:00:00"', '"2026-05-09 10:00:00.5"',
+          '"2026-05-09 25:00:00"', "20260509", '"2026-05-09 10:00:00Z"',
+      )],
+]
+
+
+@pytest.fixture(scope="module")
+def decoded(spark):
+    """All cases in one job, by message text."""
+    rows = decode(spark, *[c.values[0] for c in CASES])
+    timed = rows.withColumn("time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"))
+    return {r.value: r for r in timed.collect()}
+
+
+@pytest.mark.parametrize("value, reason, fields", CASES)
+def test_raw_message(decoded, value, reason, fields):
+    row = decoded[value]
+    assert row.reject_reason == reason
+    assert {name: row[name] for name in fields} == fields
 
 
 def test_filter_parses_each_message_once(spark):
     plan = decode(spark, message()).filter("reject_reason is null")._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("parseJson") == 1
+    assert plan.count("from_json") == 1
 
 
 def test_rejects_keep_reason_head_and_length(spark):
@@ -154,26 +117,28 @@ def test_wire_form(spark):
     assert "amount" not in out[1].value
 
 
-def mid(spark, *values):
-    return decode_mid(spark.createDataFrame([(v,) for v in values], "value string")).collect()
-
-
 def test_mid_round_trip(spark):
     row = decode_mid(to_wire(decode(spark, message()), NOW)).select(
         "event_id", "customer_id", "amount", F.date_format("event_time", "HH:mm:ss").alias("t")).first()
     assert tuple(row) == ("e-1", 42, Decimal("128.3200"), "02:00:00")
 
 
-def test_mid_bad_field_is_null_and_row_kept(spark):
-    row, = mid(spark, '{"event_id":"a","amount":"abc","customer_id":"x","event_time":"soon","biz_type":"ORDER"}')
-    assert (row.event_id, row.biz_type, row.amount, row.customer_id, row.event_time) == ("a", "ORDER", None, None, None)
-
-
-def test_mid_unusable_rows_are_skipped(spark):
-    assert mid(spark, "{bad", "null", "[]", "3", "", None, "{}", '{"other":1}') == []
-
-
-@pytest.mark.parametrize("text", ["2026-05-09T02:00:00.000Z", "2026-05-09 02:00:00.000", "2026-05-09 02:00:00"])
-def test_mid_time_in_iso_or_sql_form(spark, text):
-    df = decode_mid(spark.createDataFrame([('{"event_id":"a","event_time":"%s"}' % text,)], "value string"))
-    assert df.select(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("t")).first().t == "2026-05-09 02:00:00"
+def test_mid_messages(spark):
+    """A bad field is null and its row kept; rows without any usable field are skipped; times in ISO or SQL form."""
+    values = [
+        '{"event_id":"a","amount":"abc","customer_id":"x","event_time":"soon","biz_type":"ORDER"}',
+        "{bad", "null", "[]", "3", "", None, "{}", '{"other":1}',
+        '{"event_id":"t1","event_time":"2026-05-09T02:00:00.000Z"}',
+        '{"event_id":"t2","event_time":"2026-05-09 02:00:00.000"}',
+        '{"event_id":"t3","event_time":"2026-05-09 02:00:00"}',
+        '{"event_id":"n","customer_id":"42","amount":12345678901234.5678}',
+    ]
+    df = decode_mid(spark.createDataFrame([(v,) for v in values], "value string"))
+    rows = df.withColumn("t", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")).collect()
+    got = {r.event_id: (r.biz_type, r.customer_id, r.amount, r.t) for r in rows}
+    time = "2026-05-09 02:00:00"
+    assert got == {
+        "a": ("ORDER", None, None, None),
+        "t1": (None, None, None, time), "t2": (None, None, None, time), "t3": (None, None, None, time),
+        "n": (None, 42, Decimal("12345678901234.5678"), None),
+    }

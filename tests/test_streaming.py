@@ -20,7 +20,7 @@ from ordertide.sources.decode import decode_mid
 from ordertide.sources.dimension import DimProvider
 from ordertide.sources.topic import read_message_files
 from ordertide.streaming.aggregate import aggregate_stream, aggregate_writer, enriched_writer, set_aside_stream
-from ordertide.streaming.ingest import IngestTables, ingest_writer
+from ordertide.streaming.ingest import IngestTables, ingest_stream, ingest_writer
 from ordertide.streaming.runner import catch_up
 
 UTC = timezone.utc
@@ -144,7 +144,7 @@ class Ingest:
         self.check = str(tmp_path / "check")
 
     def run(self, **kw):
-        catch_up(self.src.stream(), ingest_writer(self.tables, clock=lambda: T0, **kw), self.check, tables=self.tables.all())
+        catch_up(ingest_stream(self.src.stream()), ingest_writer(self.tables, clock=lambda: T0, **kw), self.check, tables=self.tables.all())
 
     def mid(self):
         rows = decode_mid(tab.read_batches(self.spark, self.tables.mid, S.WIRE)).collect()
