@@ -17,9 +17,8 @@ def enrich(
 
     Without ``cols`` there is nothing to look up and no join. A dimension under the
     broadcast threshold is broadcast by Spark; a larger one is shuffled, with AQE
-    splitting skewed partitions. Where AQE does not act (stateful streams), ``salt``
-    spreads the events of each customer over that many keys and repeats the
-    dimension row once per key.
+    splitting skewed partitions. Where AQE is off, ``salt`` spreads the events of each
+    customer over that many keys and repeats the dimension row once per key.
     """
     if not cols:
         return events

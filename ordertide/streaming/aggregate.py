@@ -43,11 +43,18 @@ def set_aside_stream(messages: DataFrame) -> DataFrame:
 
 
 def enriched_writer(
-    path: str, dims: DimProvider, clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
+    path: str,
+    dims: DimProvider,
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    salt: int = 0,
 ) -> BatchWriter:
-    """Write enriched events; the dimension is at most ``dims``' time limit old."""
+    """Write enriched events; the dimension is at most ``dims``' time limit old.
+
+    ``salt`` applies while the dimension is too large to be broadcast.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(enrich(batch, dims.get(clock())), path, batch_id)
+        dim = dims.get(clock())
+        write_batch(enrich(batch, dim, salt=0 if dims.is_broadcast else salt), path, batch_id)
 
     return write
