@@ -43,7 +43,11 @@ def edge(df: DataFrame) -> DataFrame:
 
 
 def _decoded(spark: SparkSession, sf: str) -> DataFrame:
-    return decode_raw(V.raw_messages(V.src_events(spark, sf)), F.col("arrival_ts"))
+    return decode_raw(V.raw_messages(V.spread(V.src_events(spark, sf))), F.col("arrival_ts"))
+
+
+def _decoded_mid(spark: SparkSession, sf: str) -> DataFrame:
+    return decode_mid(V.mid_messages_with_faults(V.spread(V.src_events(spark, sf))))
 
 
 def _agg(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,8 +67,7 @@ def parse_raw_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parse_mid_events(spark: SparkSession, sf: str) -> DataFrame:
-    events = decode_mid(V.mid_messages_with_faults(V.src_events(spark, sf)))
-    return events.withColumn("customer_id", F.col("customer_id").cast("string"))
+    return _decoded_mid(spark, sf).withColumn("customer_id", F.col("customer_id").cast("string"))
 
 
 def synthetic_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,8 +163,7 @@ def order_id_from_biz_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def agg_null_policy(spark: SparkSession, sf: str) -> DataFrame:
-    mid = decode_mid(V.mid_messages_with_faults(V.src_events(spark, sf)))
-    return A.agg_windowed(A.complete_events(mid))
+    return A.agg_windowed(A.complete_events(_decoded_mid(spark, sf)))
 
 
 # --- joins -----------------------------------------------------------------

@@ -44,7 +44,7 @@ def stream_agg_1min(spark: SparkSession, sf: str) -> DataFrame:
     source, result, checkpoint = ensure_dir(spark, f"{root}/mid"), f"{root}/agg", f"{root}/checkpoint"
     events = V.src_events(spark, sf)
     stages = [
-        to_wire(V.chunk_of(events, n), F.col("arrival_ts")) for n in range(len(V.CHUNKS))
+        to_wire(V.spread(V.chunk_of(events, n)), F.col("arrival_ts")) for n in range(len(V.CHUNKS))
     ] + [_sentinel(spark)]
     for messages in stages:
         _stage(messages, source)
@@ -87,7 +87,7 @@ def restart_no_dup(spark: SparkSession, sf: str) -> DataFrame:
     tables = IngestTables(f"{root}/tables")
     events = V.src_events(spark, sf)
     for n, step in enumerate(("ledger", "orders", "mid")):
-        _stage(V.raw_messages(V.chunk_of(events, n)), source)
+        _stage(V.raw_messages(V.spread(V.chunk_of(events, n))), source)
         crash = _FailOnce(step, n)
         for attempt in range(2):
             try:
@@ -107,7 +107,7 @@ def replay_no_growth(spark: SparkSession, sf: str) -> DataFrame:
     root = work_dir(spark, "replay")
     source, checkpoint = ensure_dir(spark, f"{root}/raw"), f"{root}/checkpoint"
     tables = IngestTables(f"{root}/tables")
-    messages = V.raw_messages(V.src_events(spark, sf))
+    messages = V.raw_messages(V.spread(V.src_events(spark, sf)))
     again = messages.withColumns({
         "offset": F.col("offset") + F.lit(1_000_000_000_000),
         "arrival_ts": F.col("arrival_ts") + F.expr("interval 1 hour"),

@@ -18,6 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give heavy per-row work every core where a small file comes in few splits. A scan
+    with more splits than cores, as at scale, is left as it is and nothing is shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Customers who have just signed up are not in the dimension yet, so their lookups miss.
 NEW_CUSTOMER_BASE = 1_000_000_000
 

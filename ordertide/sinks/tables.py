@@ -47,12 +47,25 @@ def is_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write the rows of one micro-batch once.
 
-    A folder left half written is overwritten. A committed one is kept: the batch's rows
-    are a function of its input and of earlier batches, and readers may have taken
-    its files already.
+    Files are written to a hidden folder that is then renamed, so readers, streams
+    among them, see a batch whole or not at all. A committed batch is kept: its rows are a
+    function of its input and of earlier batches, and readers may have taken its files already.
     """
-    if not is_committed(df.sparkSession, path, batch_id):
-        df.write.mode("overwrite").parquet(batch_path(path, batch_id))
+    spark = df.sparkSession
+    if is_committed(spark, path, batch_id):
+        return
+    draft = f"{path}/_writing-{batch_id}"
+    df.write.mode("overwrite").parquet(draft)
+    fs, source = _hadoop_path(spark, draft)
+    target = _hadoop_path(spark, batch_path(path, batch_id))[1]
+    fs.delete(target, True)
+    if not fs.rename(source, target):
+        raise OSError(f"could not move {draft} to {target}")
+
+
+def stream_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Follow a batch-partitioned table as a stream of its rows, batch by batch as they appear."""
+    return spark.readStream.schema(schema).parquet(f"{ensure_dir(spark, path)}/{BATCH}=*")
 
 
 def read_batches(
@@ -93,6 +106,12 @@ def compact(
     write_batch(state, new_path, upto)
 
 
+def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
+    """Make tables available to ad-hoc SQL by name."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def drop_expired_batches(
     spark: SparkSession, path: str, now: datetime | Column, ttl: str = "7 days", schema: T.StructType = S.LEDGER
 ) -> list[int]:

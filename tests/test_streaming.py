@@ -19,7 +19,7 @@ from ordertide.sources import synth
 from ordertide.sources.decode import decode_mid
 from ordertide.sources.dimension import DimProvider
 from ordertide.sources.topic import read_message_files
-from ordertide.streaming.aggregate import aggregate_stream, aggregate_writer, enriched_writer, set_aside_stream
+from ordertide.streaming.aggregate import aggregate_stream, aggregate_writer, enriched_writer, refresh_daily, set_aside_stream
 from ordertide.streaming.ingest import IngestTables, ingest_stream, ingest_writer
 from ordertide.streaming.runner import catch_up
 
@@ -191,32 +191,36 @@ def test_outcomes_balance_and_rejects_are_kept(ingest):
     assert ledger == {"a", "e"}
 
 
-@pytest.mark.parametrize("step", ["ledger", "orders", "mid", "log"])
-def test_batch_broken_off_anywhere_is_neither_lost_nor_repeated(ingest, step):
-    def crash(done, batch_id):
-        if (done, batch_id) == (step, 1):
-            raise RuntimeError("broken off")
-
+def test_batches_broken_off_anywhere_are_neither_lost_nor_repeated(ingest):
     ingest.src.add([raw("a", 1), raw("b", 2, key="order-2")])
     ingest.src.add([raw("b", 3, key="order-2"), raw("c", 4, key="order-3"), raw("d", 5, key="order-1")])
-    with pytest.raises(StreamingQueryException):
-        ingest.run(after=crash)
+    ingest.src.add([raw("c", 6, key="order-3"), raw("e", 7, key="order-5")])
+    ingest.src.add([raw("f", 8, key="order-6"), raw("f", 9, key="order-6")])
+    for n, step in enumerate(("ledger", "orders", "mid", "log")):
+        def crash(done, batch_id):
+            if (done, batch_id) == (step, n):
+                raise RuntimeError("broken off")
+
+        with pytest.raises(StreamingQueryException):
+            ingest.run(after=crash)
     ingest.run()
-    assert [e for e, _ in ingest.mid()] == ["a", "b", "c", "d"]
-    assert ingest.orders() == [(1, ONE), (2, ONE), (3, ONE)]
+    assert [e for e, _ in ingest.mid()] == ["a", "b", "c", "d", "e", "f"]
+    assert ingest.orders() == [(n, ONE) for n in (1, 2, 3, 5, 6)]
     log = tab.read_batches(ingest.spark, ingest.tables.log, S.INGEST_LOG)
-    assert log.count() == 5
+    assert tuple(observe.balance(log).first()) == (9, 0, 3, 6, 0, 0)
 
 
-def test_half_written_folder_is_replaced(spark, tmp_path):
+def test_batch_is_visible_whole_or_not_at_all(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(3).withColumn("event_id", F.col("id").cast("string")).select("event_id", F.lit(T0).alias("created_at"))
     tab.write_batch(df, path, 0)
-    os.remove(f"{tab.batch_path(path, 0)}/_SUCCESS")
-    tab.write_batch(df.limit(2), path, 0)
+    os.rename(tab.batch_path(path, 0), f"{path}/_writing-1")
+    assert tab.read_batches(spark, path, S.LEDGER).count() == 0
+    tab.write_batch(df.limit(2), path, 1)
     assert tab.read_batches(spark, path, S.LEDGER).count() == 2
-    tab.write_batch(df, path, 0)
+    tab.write_batch(df, path, 1)
     assert tab.read_batches(spark, path, S.LEDGER).count() == 2
+    assert sorted(n for n in os.listdir(path) if not n.startswith(".")) == ["batch_id=1"]
 
 
 def test_new_checkpoint_over_old_tables_is_refused(ingest, tmp_path):
@@ -240,7 +244,7 @@ def test_ingest_feeds_aggregate(ingest, spark, tmp_path):
     ingest.src.add([raw("b", 4), raw("c", 5, key="order-3", eventTime="2030-01-01 00:00:00")])
     ingest.run()
     out = str(tmp_path / "agg")
-    mid = read_message_files(spark, f"{ingest.tables.mid}/*", S.WIRE)
+    mid = tab.stream_batches(spark, ingest.tables.mid, S.WIRE)
     catch_up(aggregate_stream(mid), aggregate_writer(out), str(tmp_path / "agg-check"))
     assert agg_rows(spark, out) == {("10:00", 1): 2}
 
@@ -261,6 +265,26 @@ def test_upsert_keeps_latest_and_compaction_keeps_state(spark, tmp_path):
     assert tab.read_batches(spark, packed, S.AGG_1MIN).count() == 3
 
 
+def test_daily_table_and_ad_hoc_sql(spark, tmp_path):
+    agg, daily = str(tmp_path / "agg"), str(tmp_path / "daily")
+    schema = "window_start timestamp_ntz, biz_type string, customer_id long, order_cnt long, amount_sum decimal(18,4)"
+    first = [(datetime(2026, 5, 8, 23, 59), "ORDER", 1, 1, ONE), (datetime(2026, 5, 9, 0, 0), "ORDER", 1, 1, ONE)]
+    late = [(datetime(2026, 5, 9, 0, 0), "ORDER", 1, 2, TWO), (datetime(2026, 5, 9, 10, 0), "REFUND", 2, 1, -ONE)]
+    for n, rows in enumerate([first, late]):
+        tab.upsert_batch(spark.createDataFrame(rows, schema), n, agg, T0)
+        refresh_daily(spark, agg, daily, n, T0, since=datetime(2026, 5, 9) if n else None)
+    state = tab.read_latest(spark, daily, S.AGG_DAILY, S.DAILY_KEY)
+    assert {(str(r.stat_date), r.biz_type): (r.order_cnt, r.amount_sum) for r in state.collect()} == {
+        ("2026-05-08", "ORDER"): (1, ONE), ("2026-05-09", "ORDER"): (2, TWO), ("2026-05-09", "REFUND"): (1, -ONE),
+    }
+    tab.register_views(spark, {"agg_order_1min": tab.read_latest(spark, agg), "agg_order_daily": state})
+    recent = spark.sql("""
+        SELECT window_start, biz_type, SUM(order_cnt) AS n, SUM(amount_sum) AS s FROM agg_order_1min
+        WHERE window_start >= TIMESTAMP_NTZ '2026-05-09 10:05:00' - INTERVAL 10 MINUTE
+        GROUP BY window_start, biz_type ORDER BY window_start DESC LIMIT 20""").collect()
+    assert [(r.biz_type, r.n, r.s) for r in recent] == [("REFUND", 1, -ONE)]
+
+
 def test_expired_ledger_batches_are_dropped_whole(spark, tmp_path):
     path = str(tmp_path / "ledger")
     for n, days in enumerate([10, 8, 1]):
