@@ -7,7 +7,7 @@ SQL states what the message's row must lead to.
 from __future__ import annotations
 
 from ordertide.plans.views import (
-    CHUNK_SQL, DIM_CUSTOMER_SQL, DUP_EVENTS_SQL, EXPECTED_SQL, INGEST_LOG_SQL, MID_FAULTS_SQL,
+    CHUNK_CTES_SQL, DIM_CUSTOMER_SQL, DUP_EVENTS_SQL, EXPECTED_SQL, INGEST_LOG_SQL, MID_FAULTS_SQL,
     ORDER_WRITES_SQL, SRC_EVENTS_SQL,
 )
 
@@ -39,7 +39,7 @@ rated AS (
 # Claims batch by batch: first copy per id and batch, unless an earlier batch claimed the id
 # within seven days before the batch's oldest first copy.
 _CLAIMS = EXPECTED_SQL + f""",
-chunked AS (SELECT *, {CHUNK_SQL} AS chunk FROM good),
+{CHUNK_CTES_SQL},
 firsts AS (
   SELECT * FROM chunked
   QUALIFY row_number() OVER (PARTITION BY chunk, event_id ORDER BY "partition", "offset") = 1),

@@ -44,7 +44,7 @@ def stream_agg_1min(spark: SparkSession, sf: str) -> DataFrame:
     source, result, checkpoint = ensure_dir(spark, f"{root}/mid"), f"{root}/agg", f"{root}/checkpoint"
     events = V.src_events(spark, sf)
     stages = [
-        to_wire(V.spread(V.chunk_of(events, n)), F.col("arrival_ts")) for n in range(len(V.CHUNKS))
+        to_wire(V.spread(chunk), F.col("arrival_ts")) for chunk in V.chunks_of(events)
     ] + [_sentinel(spark)]
     for messages in stages:
         _stage(messages, source)
@@ -59,8 +59,8 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     root = work_dir(spark, "stream-dedup")
     source, result, checkpoint = ensure_dir(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint"
     doubled = V.dup_events(spark, sf).select("event_id", "biz_type", "offset", "arrival_ts")
-    for n in range(len(V.CHUNKS)):
-        _stage(V.chunk_of(doubled, n), source)
+    for chunk in V.chunks_of(doubled):
+        _stage(chunk, source)
         kept = dedup_stream(read_message_files(spark, source, doubled.schema), salt=4)
         catch_up(kept, lambda df, batch: write_batch(df, result, batch), checkpoint, tables=[result])
     rows = read_batches(spark, result, doubled.schema)
@@ -86,8 +86,8 @@ def restart_no_dup(spark: SparkSession, sf: str) -> DataFrame:
     source, checkpoint = ensure_dir(spark, f"{root}/raw"), f"{root}/checkpoint"
     tables = IngestTables(f"{root}/tables")
     events = V.src_events(spark, sf)
-    for n, step in enumerate(("ledger", "orders", "mid")):
-        _stage(V.raw_messages(V.spread(V.chunk_of(events, n))), source)
+    for n, (step, chunk) in enumerate(zip(("ledger", "orders", "mid"), V.chunks_of(events))):
+        _stage(V.raw_messages(V.spread(chunk)), source)
         crash = _FailOnce(step, n)
         for attempt in range(2):
             try:

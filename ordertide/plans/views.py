@@ -186,15 +186,29 @@ expected AS (
 good AS (SELECT * FROM expected WHERE reject_reason IS NULL)"""
 
 
-# Batches of a staged stream: days 1-10, 11-20 and the rest of the month.
-CHUNKS = ((1, 10), (11, 20), (21, 31))
-CHUNK_SQL = "CASE WHEN day(arrival_ts) <= 10 THEN 0 WHEN day(arrival_ts) <= 20 THEN 1 ELSE 2 END"
-
-
-def chunk_of(events: DataFrame, chunk: int) -> DataFrame:
-    """Rows of one staged batch. Every row belongs to exactly one."""
-    first, last = CHUNKS[chunk]
-    return events.filter(F.dayofmonth("arrival_ts").between(first, last))
+# Batches of a staged stream: equal spans of arrival time, in order.
+CHUNKS = 3
+CHUNK_CTES_SQL = """span AS (
+  SELECT epoch_us(min(arrival_ts)) AS lo, epoch_us(max(arrival_ts)) - epoch_us(min(arrival_ts)) AS width
+  FROM src_events),
+chunked AS (
+  SELECT good.*,
+         CASE WHEN epoch_us(arrival_ts) < lo + width // 3 THEN 0
+              WHEN epoch_us(arrival_ts) < lo + width * 2 // 3 THEN 1 ELSE 2 END AS chunk
+  FROM good, span)"""
+
+
+def chunks_of(events: DataFrame) -> list[DataFrame]:
+    """The staged batches, oldest first. Every row belongs to exactly one."""
+    at = F.unix_micros("arrival_ts")
+    ends = events.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
+    cuts = [ends["lo"] + (ends["hi"] - ends["lo"]) * n // CHUNKS for n in range(1, CHUNKS)]
+    bounds = [None, *cuts, None]
+    out = []
+    for lo, hi in zip(bounds, bounds[1:]):
+        part = events if lo is None else events.filter(F.col("arrival_ts") >= F.timestamp_micros(F.lit(lo)))
+        out.append(part if hi is None else part.filter(F.col("arrival_ts") < F.timestamp_micros(F.lit(hi))))
+    return out
 
 
 MID_FAULTS_SQL = SRC_EVENTS_SQL + """,

@@ -89,3 +89,8 @@ def decode_mid(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         *[F.col("_t")[f].alias(f) for f in ("customer_id", "amount", "event_time")],
     )
     return events.filter(F.coalesce(*[F.col(c).cast("string") for c in S.EVENT.names]).isNotNull())
+
+
+def with_proc_time(events: DataFrame) -> DataFrame:
+    """The processing time; one value per micro-batch."""
+    return events.withColumn("proc_time", F.current_timestamp())

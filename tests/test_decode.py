@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ordertide.operators.upsert import rejects
 from ordertide.operators.wire import to_wire
-from ordertide.sources.decode import decode_mid, decode_raw
+from ordertide.sources.decode import decode_mid, decode_raw, with_proc_time
 
 NOW = datetime(2026, 5, 9, 3, 0, 0, tzinfo=timezone.utc)
 BASE = {
@@ -142,3 +142,8 @@ def test_mid_messages(spark):
         "t1": (None, None, None, time), "t2": (None, None, None, time), "t3": (None, None, None, time),
         "n": (None, 42, Decimal("12345678901234.5678"), None),
     }
+
+
+def test_processing_time_is_one_value(spark):
+    df = with_proc_time(spark.range(0, 100, 1, 4))
+    assert df.select("proc_time").distinct().count() == 1
