@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertide.llm import chat, secrets, urlfilter
+from ordertide.llm import chat, packing, secrets, simhash, urlfilter
 from ordertide.llm.common import table
 
 
@@ -12,12 +12,20 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = urlfilter.judge(pages, urlfilter.spam_list(pages))
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: A conversation whose texts are made of control strings.
 CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
