@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ordertide.llm import chat, packing, secrets, simhash, urlfilter
+from ordertide.llm import chat, decontam, langid, packing, secrets, simhash, urlfilter
 from ordertide.llm.common import table
 
 
@@ -36,5 +37,19 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.expand(turns.unionByName(extra)))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.digest(decontam.contamination(docs, table(spark, sf_dir, "benchmark")))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    told = langid.identify(docs, langid.learn(docs))
+    return told.select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("predicted.lang").alias("lang_pred"), F.col("predicted.score").alias("score"),
+    )
+
+
 def registered() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -30,5 +30,5 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 
 
 def ascii_lower(c: Column) -> Column:
-    """A-Z to a-z and nothing else, whatever the locale or script."""
-    return F.translate(c, UPPER, UPPER.lower())
+    """A-Z to a-z and nothing else. Where bytes and characters are as many, the plain function does just that."""
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))

@@ -110,5 +110,30 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
 FROM said"""
 
 
+def _decontamination() -> str:
+    words = lambda c: f"regexp_extract_all({LOWER.format(f'coalesce({c}, chr(32))')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {words('text')} AS w FROM documents),
+items AS (SELECT item_id, w FROM (SELECT item_id, {words('text')} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS m, array_to_string(w[s:s + 12], ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM items)
+), sizes AS (SELECT DISTINCT m FROM windows),
+places AS (
+  SELECT r, m, s, array_to_string(w[s:s + m - 1], ' ') AS win
+  FROM (SELECT r, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM docs JOIN sizes ON len(w) >= m)
+), hits AS (SELECT DISTINCT r, s, places.m, win FROM places SEMI JOIN windows USING (win)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + m)) AS p FROM hits) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM hits JOIN windows USING (win)) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_secret_scan": _secret_scan(), "op5_url_filter": _url_filter(), "op7_chat_format": _chat_format()}
+    return {"op1_secret_scan": _secret_scan(), "op5_url_filter": _url_filter(), "op7_chat_format": _chat_format(),
+            "op8_benchmark_decontamination": _decontamination()}
