@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertide.llm import chat, decontam, langid, packing, secrets, simhash, urlfilter
+from ordertide.llm import chat, decontam, langid, packing, pcadedup, secrets, simhash, urlfilter
 from ordertide.llm.common import table
 
 
@@ -51,5 +51,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pcadedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def registered() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}

@@ -134,6 +134,25 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN covered USING (r) LEFT JOIN named USING (r)"""
 
 
+def _embedding_near_dedup() -> str:
+    return """
+WITH RECURSIVE given AS (SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+good AS (
+  SELECT r, vec_id, label, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS len
+  FROM given WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.label = b.label AND a.r <> b.r AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.len * b.len) >= 0.98
+), reached AS (
+  SELECT r AS a, r AS b FROM given UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a
+), rooted AS (SELECT a AS r, min(given.vec_id) AS component_id FROM reached JOIN given ON given.r = reached.b GROUP BY a),
+counted AS (SELECT a AS r, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM given JOIN rooted USING (r) LEFT JOIN counted USING (r)"""
+
+
 def statements() -> dict[str, str]:
     return {"op1_secret_scan": _secret_scan(), "op5_url_filter": _url_filter(), "op7_chat_format": _chat_format(),
-            "op8_benchmark_decontamination": _decontamination()}
+            "op8_benchmark_decontamination": _decontamination(),
+            "op10_embedding_near_dedup": _embedding_near_dedup()}
