@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertide.llm import chat, decontam, langid, packing, pcadedup, secrets, simhash, urlfilter
+from ordertide.llm import chat, decontam, langid, packing, pcadedup, pitmanyor, secrets, simhash, urlfilter, warc
 from ordertide.llm.common import table
 
 
@@ -13,6 +13,14 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op2_pitman_yor_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op3_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derive(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
