@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,16 +96,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with one row of each component: the smallest id; of rows that share it, one.
 
-    Only ids and fingerprints are grouped; whole rows move once, to meet the chosen ids.
+    Only ids and fingerprints are grouped; whole rows move once, to meet the chosen ids. A
+    component of null ids keeps a row of its smallest fingerprint.
     """
-    tagged = df.withColumn("_fp", fingerprints(F.col(text)))
-    prints = durable(tagged.select(F.col(doc_id).alias("doc_id"), F.col("_fp").alias("fp")))
+    key = ["_fp", "_id", "_null"]
+    tagged = df.withColumns({
+        "_fp": fingerprints(F.col(text)), "_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_null": F.col(doc_id).isNull(),
+    })
+    prints = durable(tagged.select(F.col("_fp").alias("fp"), F.col(doc_id).alias("doc_id"), "_id", "_null"))
     rooted = prints.join(classes(prints), "fp")
-    # A component of null ids keeps a row of its smallest fingerprint.
-    chosen = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("k"))
-    chosen = chosen.select(F.col("k.doc_id").alias("_id"), F.col("k.fp").alias("_kept"))
-    met = tagged.join(chosen, F.col("_fp").eqNullSafe(F.col("_kept")) & F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
-    return met.dropDuplicates([doc_id, "_fp"]).drop("_fp")
+    chosen = rooted.groupBy("root").agg(F.min(F.struct("_null", "doc_id", "fp", "_id")).alias("k"))
+    chosen = chosen.select(F.col("k.fp").alias("_fp"), "k._id", "k._null")
+    again = Window.partitionBy(*key).orderBy(F.xxhash64(F.col(text)))
+    met = tagged.join(chosen, key, "left_semi").withColumn("_n", F.row_number().over(again))
+    return met.where("_n = 1").select(*df.columns)
 
 
 def digest(near: DataFrame) -> DataFrame:
