@@ -162,5 +162,5 @@ def digest(judged: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without its contaminated rows; all columns stay."""
     bad = contamination(docs.select(doc_id, text), items, doc_id, text).where(contaminated())
-    bad = bad.select(F.col("doc_id").alias("_d"), F.col("_text_hash").alias("_h")).distinct()
-    return docs.join(bad, (F.xxhash64(F.col(text)) == F.col("_h")) & F.col(doc_id).eqNullSafe(F.col("_d")), "left_anti")
+    bad = bad.select(F.col("doc_id").alias("_bench_doc"), F.col("_text_hash").alias("_bench_hash")).distinct()
+    return docs.join(bad, (F.xxhash64(F.col(text)) == F.col("_bench_hash")) & F.col(doc_id).eqNullSafe(F.col("_bench_doc")), "left_anti")

@@ -99,17 +99,17 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     Only ids and fingerprints are grouped; whole rows move once, to meet the chosen ids. A
     component of null ids keeps a row of its smallest fingerprint.
     """
-    key = ["_fp", "_id", "_null"]
+    key = ["_near_fp", "_near_id", "_near_null"]
     tagged = df.withColumns({
-        "_fp": fingerprints(F.col(text)), "_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_null": F.col(doc_id).isNull(),
+        "_near_fp": fingerprints(F.col(text)), "_near_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_near_null": F.col(doc_id).isNull(),
     })
-    prints = durable(tagged.select(F.col("_fp").alias("fp"), F.col(doc_id).alias("doc_id"), "_id", "_null"))
+    prints = durable(tagged.select(F.col("_near_fp").alias("fp"), F.col(doc_id).alias("doc_id"), "_near_id", "_near_null"))
     rooted = prints.join(classes(prints), "fp")
-    chosen = rooted.groupBy("root").agg(F.min(F.struct("_null", "doc_id", "fp", "_id")).alias("k"))
-    chosen = chosen.select(F.col("k.fp").alias("_fp"), "k._id", "k._null")
+    chosen = rooted.groupBy("root").agg(F.min(F.struct("_near_null", "doc_id", "fp", "_near_id")).alias("k"))
+    chosen = chosen.select(F.col("k.fp").alias("_near_fp"), "k._near_id", "k._near_null")
     again = Window.partitionBy(*key).orderBy(F.xxhash64(F.col(text)))
-    met = tagged.join(chosen, key, "left_semi").withColumn("_n", F.row_number().over(again))
-    return met.where("_n = 1").select(*df.columns)
+    met = tagged.join(chosen, key, "left_semi").withColumn("_near_n", F.row_number().over(again))
+    return met.where("_near_n = 1").select(*df.columns)
 
 
 def digest(near: DataFrame) -> DataFrame:

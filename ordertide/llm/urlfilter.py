@@ -83,29 +83,29 @@ def blocks_for(n_listed: int) -> int:
 
 def judge(df: DataFrame, listed: DataFrame, url: str = "url", listed_url: str = "canonical", rules=RULES) -> DataFrame:
     """``df`` with host, path, rule and verdict. ``listed`` holds canonical urls to block."""
-    keys = listed.where(F.col(listed_url).isNotNull()).select(F.col(listed_url).alias("_listed")).distinct()
+    keys = listed.where(F.col(listed_url).isNotNull()).select(F.col(listed_url).alias("_url_listed")).distinct()
     blocks = blocks_for(keys.count())
     parted = df.withColumns({"host": host(F.col(url)), "path": path(F.col(url))})
     h, p = F.col("host"), F.col("path")
     ruled = parted.withColumns({
         "rule": _first_rule(h, p, rules, lambda r: r[1] + r[2]),
-        "_by_rule": _first_rule(h, p, rules, lambda r: r[0]),
-    }).withColumn("_key", F.when(F.col("rule").isNull() & (h != ""), canonical(h, p)))
-    words = [f"_w{i}" for i in range(WORDS)]
-    bloom = bloom_blocks(keys, "_listed", blocks).select(F.col("block").alias("_block"), *[
+        "_url_by_rule": _first_rule(h, p, rules, lambda r: r[0]),
+    }).withColumn("_url_key", F.when(F.col("rule").isNull() & (h != ""), canonical(h, p)))
+    words = [f"_url_w{i}" for i in range(WORDS)]
+    bloom = bloom_blocks(keys, "_url_listed", blocks).select(F.col("block").alias("_url_block"), *[
         F.col(f"w{i}").alias(words[i]) for i in range(WORDS)
     ])
-    probed = ruled.withColumn("_block", F.when(F.col("_key").isNotNull(), _block(F.col("_key"), blocks)))
-    probed = probed.join(F.broadcast(bloom), "_block", "left")
+    probed = ruled.withColumn("_url_block", F.when(F.col("_url_key").isNotNull(), _block(F.col("_url_key"), blocks)))
+    probed = probed.join(F.broadcast(bloom), "_url_block", "left")
     passes = F.lit(True)
-    for word, mask in zip(words, _masks(F.col("_key")), strict=True):
+    for word, mask in zip(words, _masks(F.col("_url_key")), strict=True):
         passes = passes & (F.col(word).bitwiseAND(mask) == mask)
-    probed = probed.withColumn("_passes", F.coalesce(passes, F.lit(False)))
-    hits = probed.where("_passes").join(keys, F.col("_key") == F.col("_listed"), "left")
-    misses = probed.where("not _passes").withColumn("_listed", F.lit(None).cast("string"))
-    verdict = F.coalesce("_by_rule", F.when(F.col("_listed").isNotNull(), F.lit("block")), F.lit("allow"))
+    probed = probed.withColumn("_url_passes", F.coalesce(passes, F.lit(False)))
+    hits = probed.where("_url_passes").join(keys, F.col("_url_key") == F.col("_url_listed"), "left")
+    misses = probed.where("not _url_passes").withColumn("_url_listed", F.lit(None).cast("string"))
+    verdict = F.coalesce("_url_by_rule", F.when(F.col("_url_listed").isNotNull(), F.lit("block")), F.lit("allow"))
     out = hits.unionByName(misses).withColumn("verdict", verdict)
-    return out.drop("_by_rule", "_key", "_block", "_passes", "_listed", *words)
+    return out.drop("_url_by_rule", "_url_key", "_url_block", "_url_passes", "_url_listed", *words)
 
 
 def spam_list(pages: DataFrame, url: str = "url", word: str = "spam") -> DataFrame:
