@@ -35,11 +35,9 @@ def complete_events(events: DataFrame) -> DataFrame:
 
 
 def incomplete_events(events: DataFrame) -> DataFrame:
-    """P10: the rest, to be set aside rather than lost."""
-    missing = F.lit(False)
-    for name in NOT_NULL:
-        missing = missing | F.col(name).isNull()
-    return events.filter(missing)
+    """P10: the rest, to be set aside rather than lost, with the names of what is ``missing``."""
+    missing = F.concat_ws(",", *[F.when(F.col(name).isNull(), F.lit(name)) for name in NOT_NULL])
+    return events.withColumn("missing", missing).filter(F.col("missing") != "")
 
 
 def agg_windowed(
@@ -86,9 +84,12 @@ def rollup_daily(agg_1min: DataFrame) -> DataFrame:
 
 
 def recent_minutes(agg_1min: DataFrame, now: datetime | Column, minutes: int = 10, n: int = 20) -> DataFrame:
-    """Latest minutes per biz type. The range reaches the scan of the result table."""
+    """Latest minutes per biz type. The range reaches the scan of the result table, and
+    of a table kept by ``stat_date`` only the days it touches are read."""
     since = utc_to_shanghai(as_instant(now)) - F.expr(f"interval {minutes} minutes")
     recent = agg_1min.filter(F.col("window_start") >= since)
+    if "stat_date" in agg_1min.columns:
+        recent = recent.filter(F.col("stat_date") >= F.to_date(since))
     return _roll(recent, ["window_start", "biz_type"]).orderBy(F.desc("window_start"), "biz_type").limit(n)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,9 +11,13 @@ from pyspark.sql import functions as F
 from ordertide.functions.clock import as_instant
 
 ARRIVAL_ORDER = ("partition", "offset")
+# The order in which copies of one event claim it, however batches are cut.
+CLAIM_ORDER = ("arrival_ts", *ARRIVAL_ORDER)
 LEDGER_HORIZON = "7 days"
-# Above this many new keys the stored side is shuffled instead of the new keys broadcast.
-BROADCAST_KEYS = 500_000
+# Above this many bytes of new keys the stored side is shuffled instead of the new keys broadcast.
+BROADCAST_BYTES = 16 << 20
+# What a broadcast key takes besides its own bytes.
+KEY_OVERHEAD = 48
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order_cols: Sequence[str | Column]) -> DataFrame:
@@ -33,17 +37,19 @@ def anti_existing(new: DataFrame, existing: DataFrame, key: str) -> DataFrame:
 
 
 def anti_existing_narrow(
-    new: DataFrame, existing: DataFrame, key: str, max_broadcast: int = BROADCAST_KEYS
+    new: DataFrame, existing: DataFrame, key: str, max_broadcast: int = BROADCAST_BYTES
 ) -> DataFrame:
     """:func:`anti_existing` for a small batch against a long history.
 
     ``new`` has one row per key and should be persisted: its key range and size are
     measured first. The range goes to the scan of ``existing`` as a pushed-down filter, so
-    files holding only other keys are skipped. Up to ``max_broadcast`` keys the history
-    is scanned in place, without a shuffle; beyond that both sides are shuffled.
+    files holding only other keys are skipped. Up to ``max_broadcast`` bytes of keys the history
+    is scanned in place, without a shuffle; beyond that both sides are shuffled. The rows are
+    the same either way.
     """
-    span = new.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    if span["n"] == 0:
+    size = F.sum(F.octet_length(F.col(key).cast("string")) + F.lit(KEY_OVERHEAD))
+    span = new.agg(size.alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi")).first()
+    if span["n"] is None:
         return new
     nearby = existing.select(key).filter(F.col(key).between(F.lit(span["lo"]), F.lit(span["hi"])))
     if span["n"] > max_broadcast:
@@ -66,24 +72,34 @@ def claim(
     return anti_existing(first_per_key(new, key, order_cols), ledger, key)
 
 
-def within_horizon(ledger: DataFrame, since: datetime | Column, horizon: str = LEDGER_HORIZON) -> DataFrame:
-    """Ledger rows young enough to block a copy that arrives at ``since`` or later."""
-    return ledger.filter(F.col("created_at") >= as_instant(since) - F.expr(f"interval {horizon}"))
+def span_of(horizon: str) -> timedelta:
+    """A length of time written as a number and a unit, on the driver."""
+    number, unit = horizon.split()
+    return timedelta(**{unit.rstrip("s") + "s": float(number)})
 
 
-def expire(
-    ledger: DataFrame,
-    now: datetime | Column,
-    ttl: str = LEDGER_HORIZON,
-    limit: int | None = None,
-    key: str = "event_id",
-) -> DataFrame:
-    """K8: rows that stay. Strictly older rows go; with ``limit`` only the oldest few of them."""
-    cutoff = as_instant(now) - F.expr(f"interval {ttl}")
-    if limit is None:
-        return ledger.filter(F.col("created_at") >= cutoff)
-    doomed = ledger.filter(F.col("created_at") < cutoff).orderBy("created_at", key).limit(limit)
-    return ledger.join(doomed.select(key, "created_at"), [key, "created_at"], "left_anti")
+def near_claims(ledger: DataFrame, first: datetime, last: datetime, horizon: str = LEDGER_HORIZON) -> DataFrame:
+    """Ledger rows within the horizon of arrivals from ``first`` to ``last``. A ledger kept by ``day`` is
+    read only for the days this touches."""
+    reach = F.expr(f"interval {horizon}")
+    since, until = as_instant(first) - reach, as_instant(last) + reach
+    near = ledger.filter(F.col("created_at").between(since, until))
+    if "day" in ledger.columns:
+        near = near.filter(F.col("day").between(F.to_date(since), F.to_date(until)))
+    return near
+
+
+def unblocked(rows: DataFrame, claims: DataFrame, horizon: str = LEDGER_HORIZON, key: str = "event_id", at: str = "arrival_ts") -> DataFrame:
+    """Rows for whose key no claim (key, created_at) lies within the horizon of their own arrival."""
+    reach = F.expr(f"interval {horizon}")
+    own = claims.select(F.col(key).alias("_key"), "created_at")
+    near = F.col("created_at").between(F.col(at) - reach, F.col(at) + reach)
+    return rows.join(own, (F.col(key) == F.col("_key")) & near, "left_anti")
+
+
+def expire(ledger: DataFrame, now: datetime | Column, ttl: str = LEDGER_HORIZON) -> DataFrame:
+    """K8: rows that stay. Strictly older rows go."""
+    return ledger.filter(F.col("created_at") >= as_instant(now) - F.expr(f"interval {ttl}"))
 
 
 def dedup_stream(
@@ -94,11 +110,13 @@ def dedup_stream(
     Which of several copies with different content survives is not fixed; use the
     ledger where that matters. With ``salt`` > 1 copies are first thinned out in
     that many slices per id, so an id holding a large share of the stream does not
-    meet in one task; the price is a second state store.
+    meet in one task; the price is a second state store. Slices go by the message's position,
+    which parts copies of equal content too, or by its arrival where there is none.
     """
     marked = events.withWatermark(arrival, horizon)
     if salt > 1:
-        slice_no = F.pmod(F.xxhash64(*events.columns), F.lit(salt))
+        position = [c for c in ARRIVAL_ORDER if c in events.columns] or [arrival]
+        slice_no = F.pmod(F.xxhash64(*position), F.lit(salt))
         marked = (
             marked.withColumn("_slice", slice_no)
             .dropDuplicatesWithinWatermark(["event_id", "_slice"])

@@ -117,27 +117,30 @@ def slide_ratio(steps: DataFrame, width: str, slide: str, threshold: float) -> D
 
 
 def sustained(
-    series: DataFrame, cond: Column, buckets: int, keys: Sequence[str] = (), at: str = "window_start"
+    series: DataFrame, cond: Column, buckets: int, keys: Sequence[str] = (), at: str = "window_start", step_seconds: int = 60
 ) -> DataFrame:
-    """M5: unbroken runs of at least ``buckets`` minutes for which ``cond`` holds.
+    """M5: unbroken runs of at least ``buckets`` steps for which ``cond`` holds.
 
-    Runs are formed per day in parallel. Only runs touching midnight can go on, so only
+    ``step_seconds`` is the series' own step, a whole part of a day. Runs are formed per day in parallel. Only runs touching midnight can go on, so only
     those are merged across days.
     """
+    if 86400 % step_seconds:
+        raise ValueError("the step must divide a day")
+    reach_seconds = step_seconds + 1
     day = F.window(at, "1 day")
     hits = series.filter(cond).select(
         *keys, F.col(at).alias("_at"), day["start"].alias("_day"), day["end"].alias("_next_day")
     )
-    # A minute's run reaches one second into the next minute, so neighbours join and gaps part.
-    runs = hits.groupBy("_day", "_next_day", *keys, F.session_window("_at", "61 seconds").alias("_s")).agg(
+    # A step's run reaches one second into the next step, so neighbours join and gaps part.
+    runs = hits.groupBy("_day", "_next_day", *keys, F.session_window("_at", f"{reach_seconds} seconds").alias("_s")).agg(
         F.min("_at").alias("run_start"), F.max("_at").alias("run_end"), F.count(F.lit(1)).alias("buckets")
     )
-    last_minute = F.col("_next_day") - F.expr("interval 1 minute")
-    touches = (F.col("run_start") == F.col("_day")) | (F.col("run_end") == last_minute)
+    last_step = F.col("_next_day") - F.expr(f"interval {step_seconds} seconds")
+    touches = (F.col("run_start") == F.col("_day")) | (F.col("run_end") == last_step)
     shape = [*keys, "run_start", "run_end", "buckets"]
     inner = runs.filter(~touches).select(*shape)
     reach = F.concat(
-        (F.col("run_end").cast("long") - F.col("run_start").cast("long") + F.lit(61)).cast("string"),
+        (F.col("run_end").cast("long") - F.col("run_start").cast("long") + F.lit(reach_seconds)).cast("string"),
         F.lit(" seconds"),
     )
     merged = (

@@ -35,12 +35,14 @@ def latest_wins(
 
 
 def rejects(decoded: DataFrame) -> DataFrame:
-    """K9: set-aside messages with their reason, the start of the text and its full length."""
+    """K9: set-aside messages with their reason and whole text, which is the only copy kept; its
+    start and length are for reading."""
     return decoded.filter(F.col("reject_reason").isNotNull()).select(
         "partition",
         "offset",
         "arrival_ts",
         "reject_reason",
+        "value",
         head(F.col("value")).alias("value_head"),
         F.length("value").alias("value_length"),
     )

@@ -7,7 +7,7 @@ SQL states what the message's row must lead to.
 from __future__ import annotations
 
 from ordertide.plans.views import (
-    CHUNK_CTES_SQL, DIM_CUSTOMER_SQL, DUP_EVENTS_SQL, EXPECTED_SQL, INGEST_LOG_SQL, MID_FAULTS_SQL,
+    DIM_CUSTOMER_SQL, DUP_EVENTS_SQL, EXPECTED_SQL, INGEST_LOG_SQL, MID_FAULTS_SQL,
     ORDER_WRITES_SQL, SRC_EVENTS_SQL,
 )
 
@@ -36,25 +36,17 @@ rated AS (
          CAST(failed / received > 0.01 AS INTEGER) AS breach
   FROM ratios)"""
 
-# Claims batch by batch: first copy per id and batch, unless an earlier batch claimed the id
-# within seven days before the batch's oldest first copy.
-_CLAIMS = EXPECTED_SQL + f""",
-{CHUNK_CTES_SQL},
-firsts AS (
-  SELECT * FROM chunked
-  QUALIFY row_number() OVER (PARTITION BY chunk, event_id ORDER BY "partition", "offset") = 1),
-since AS (SELECT chunk, min(arrival_ts) - INTERVAL 7 DAY AS since FROM firsts GROUP BY chunk),
-claims0 AS (SELECT * FROM firsts WHERE chunk = 0),
-claims1 AS (
-  SELECT f.* FROM firsts f JOIN since s USING (chunk)
-  WHERE chunk = 1 AND NOT EXISTS (
-    SELECT 1 FROM claims0 l WHERE l.event_id = f.event_id AND l.arrival_ts >= s.since)),
-claims01 AS (SELECT * FROM claims0 UNION ALL SELECT * FROM claims1),
-claims2 AS (
-  SELECT f.* FROM firsts f JOIN since s USING (chunk)
-  WHERE chunk = 2 AND NOT EXISTS (
-    SELECT 1 FROM claims01 l WHERE l.event_id = f.event_id AND l.arrival_ts >= s.since)),
-claims AS (SELECT * FROM claims01 UNION ALL SELECT * FROM claims2)"""
+# The rule itself: an id is claimed by its first arrival, and again by the first more than seven days on.
+_CLAIMS = "WITH RECURSIVE " + EXPECTED_SQL + """,
+chain AS (
+  SELECT event_id, min(arrival_ts) AS claimed_at FROM good GROUP BY event_id
+  UNION ALL
+  SELECT good.event_id, min(arrival_ts) FROM chain JOIN good
+    ON good.event_id = chain.event_id AND arrival_ts > claimed_at + INTERVAL 7 DAY
+  GROUP BY good.event_id),
+claims AS (
+  SELECT good.* FROM good JOIN chain ON good.event_id = chain.event_id AND arrival_ts = claimed_at
+  QUALIFY row_number() OVER (PARTITION BY good.event_id, arrival_ts ORDER BY "partition", "offset") = 1)"""
 
 
 def statements() -> dict[str, str]:
@@ -140,6 +132,18 @@ WHERE arrival_ts >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 7 DAY""",
 SELECT reject_reason, count(*) AS row_cnt, CAST(sum("offset") AS BIGINT) AS offset_sum
 FROM expected WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
 
+        "reject_texts": _with(EXPECTED_SQL) + """
+SELECT "offset", 'malformed' AS reject_reason, CAST(length(t) AS BIGINT) AS value_length, sha256(t) AS value_sha256
+FROM (SELECT "offset", '{bad' || repeat('x', CAST(300 + "offset" % 100 AS INTEGER)) AS t FROM src_events WHERE k = 0)""",
+
+        "mid_balance": _with(MID_FAULTS_SQL) + """,
+checked AS (
+  SELECT concat_ws(',', CASE WHEN event_time IS NULL THEN 'event_time' END, CASE WHEN biz_type IS NULL THEN 'biz_type' END,
+                   CASE WHEN customer_id IS NULL THEN 'customer_id' END) AS missing FROM mid_expected)
+SELECT count(*) AS read_cnt, count(*) FILTER (missing = '') AS stored_cnt, count(*) FILTER (missing <> '') AS aside_cnt,
+       count(*) FILTER (missing = 'event_time') AS no_time_cnt, CAST(0 AS BIGINT) AS difference
+FROM checked""",
+
         "order_projection": _with(EXPECTED_SQL) + """
 SELECT order_id, customer_id, biz_type, CAST(coalesce(amount, 0) AS DOUBLE) AS amount, 'NEW' AS status,
        event_time + INTERVAL 8 HOUR AS created_at, arrival_ts + INTERVAL 8 HOUR AS updated_at
@@ -260,15 +264,19 @@ WHERE coalesce(agg.order_cnt, 0) <> coalesce(stored.order_cnt, 0)
         "stream_agg_1min": _with(SRC_EVENTS_SQL, _AGG) + """
 SELECT window_start, biz_type, customer_id, order_cnt, CAST(amount_sum AS DOUBLE) AS amount_sum FROM agg""",
 
+        "restart_agg_no_dup": _with(SRC_EVENTS_SQL, _AGG) + """
+SELECT window_start, biz_type, customer_id, order_cnt, CAST(amount_sum AS DOUBLE) AS amount_sum FROM agg""",
+
+        "stream_agg_mid_twice": _with(SRC_EVENTS_SQL, _AGG) + """
+SELECT window_start, biz_type, customer_id, order_cnt, CAST(amount_sum AS DOUBLE) AS amount_sum FROM agg""",
+
         "stream_dedup": _with(DUP_EVENTS_SQL) + """
 SELECT biz_type, count(DISTINCT event_id) AS kept_cnt FROM dup_events GROUP BY biz_type""",
 
-        "restart_no_dup": _with(_CLAIMS) + """
+        "restart_no_dup": _CLAIMS + """
 SELECT event_id, biz_type, biz_key, customer_id, CAST(amount AS DOUBLE) AS amount FROM claims""",
 
-        "replay_no_growth": _with(EXPECTED_SQL) + """,
-claims AS (
-  SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY "partition", "offset") = 1),
+        "replay_no_growth": _CLAIMS + """,
 sizes AS (
   SELECT 'ledger' AS table_name, count(*) AS n FROM claims
   UNION ALL SELECT 'mid', count(*) FROM claims

@@ -14,10 +14,10 @@ from ordertide.operators.dedup import dedup_stream
 from ordertide.operators.wire import to_wire
 from ordertide.plans import views as V
 from ordertide.session import work_dir
-from ordertide.sinks.tables import ensure_dir, read_batches, read_latest, write_batch
+from ordertide.sinks.tables import ensure_dir, read_batches, read_latest, stream_batches, write_batch
 from ordertide.sources.decode import decode_mid
 from ordertide.sources.topic import read_message_files
-from ordertide.streaming.aggregate import aggregate_stream, aggregate_writer
+from ordertide.streaming.aggregate import MID_TOPIC, aggregate_stream, aggregate_writer, decoded_time, single_deliveries
 from ordertide.streaming.ingest import IngestTables, ingest_stream, ingest_writer
 from ordertide.streaming.runner import catch_up
 
@@ -42,62 +42,97 @@ def stream_agg_1min(spark: SparkSession, sf: str) -> DataFrame:
     """Mid messages in three stages through the aggregate query."""
     root = work_dir(spark, "stream-agg")
     source, result, checkpoint = ensure_dir(spark, f"{root}/mid"), f"{root}/agg", f"{root}/checkpoint"
-    events = V.src_events(spark, sf)
-    stages = [
-        to_wire(V.spread(chunk), F.col("arrival_ts")) for chunk in V.chunks_of(events)
-    ] + [_sentinel(spark)]
-    for messages in stages:
+    for messages in _mid_stages(spark, sf):
         _stage(messages, source)
         stream = aggregate_stream(read_message_files(spark, source, S.WIRE))
         catch_up(stream, aggregate_writer(result), checkpoint, tables=[result])
+    return _minutes(spark, result)
+
+
+def _mid_stages(spark: SparkSession, sf: str) -> list[DataFrame]:
+    return [to_wire(chunk, F.col("arrival_ts")) for chunk in V.chunks_of(spark, sf)] + [_sentinel(spark)]
+
+
+def _minutes(spark: SparkSession, result: str) -> DataFrame:
     rows = read_latest(spark, result).drop("update_time")
     return rows.filter(F.col("window_start") < F.lit(SENTINEL).cast("timestamp_ntz"))
 
 
+def _until_done(start, crash) -> None:
+    """Run a query that breaks off once, and start it again once."""
+    try:
+        start()
+    except StreamingQueryException:
+        if not crash.failed:
+            raise
+        start()
+
+
+def restart_agg_no_dup(spark: SparkSession, sf: str) -> DataFrame:
+    """The aggregate query breaks off in every stage after its write, and is started again once."""
+    root = work_dir(spark, "restart-agg")
+    source, result, checkpoint = ensure_dir(spark, f"{root}/mid"), f"{root}/agg", f"{root}/checkpoint"
+    for messages in _mid_stages(spark, sf):
+        _stage(messages, source)
+        crash = _FailOnce("agg", None)
+        stream = lambda: aggregate_stream(read_message_files(spark, source, S.WIRE))
+        _until_done(lambda: catch_up(stream(), aggregate_writer(result, after=crash), checkpoint), crash)  # noqa: B023
+    return _minutes(spark, result)
+
+
+def stream_agg_mid_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """A mid topic that delivers every tenth message twice; a query of its own takes each event
+    once by arrival time, and the aggregate query follows its table."""
+    root = work_dir(spark, "mid-twice")
+    source, once = ensure_dir(spark, f"{root}/topic"), f"{root}/once"
+    result = f"{root}/agg"
+    for wire in _mid_stages(spark, sf):
+        sent = wire.withColumn("arrival_ts", F.coalesce(decoded_time(F.col("value")), F.lit(SENTINEL).cast("timestamp")))
+        again = sent.filter(F.pmod(F.crc32("value"), F.lit(10)) == 0)
+        _stage(sent.unionAll(again.withColumn("arrival_ts", F.col("arrival_ts") + F.expr("interval 1 second"))), source)
+        topic = read_message_files(spark, source, MID_TOPIC)
+        catch_up(single_deliveries(topic), lambda df, n: write_batch(df, once, n), f"{root}/check-once")
+        catch_up(aggregate_stream(stream_batches(spark, once, S.WIRE)), aggregate_writer(result), f"{root}/check-agg")
+    return _minutes(spark, result)
+
+
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Doubled events in three stages through the stateful dedup."""
     root = work_dir(spark, "stream-dedup")
     source, result, checkpoint = ensure_dir(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint"
-    doubled = V.dup_events(spark, sf).select("event_id", "biz_type", "offset", "arrival_ts")
-    for chunk in V.chunks_of(doubled):
+    doubled = lambda events: V.dup_events_of(events).select("event_id", "biz_type", "partition", "offset", "arrival_ts")
+    for chunk in V.chunks_of(spark, sf, doubled):
         _stage(chunk, source)
-        kept = dedup_stream(read_message_files(spark, source, doubled.schema), salt=4)
+        kept = dedup_stream(read_message_files(spark, source, chunk.schema), salt=4)
         catch_up(kept, lambda df, batch: write_batch(df, result, batch), checkpoint, tables=[result])
-    rows = read_batches(spark, result, doubled.schema)
+    rows = read_batches(spark, result, chunk.schema)
     return rows.groupBy("biz_type").agg(F.count(F.lit(1)).alias("kept_cnt"))
 
 
 class _FailOnce:
-    """Breaks off one batch after a given step, the first time only."""
+    """Breaks off a batch after a given step, the first time only; no number means whichever comes."""
 
-    def __init__(self, step: str, batch_id: int):
+    def __init__(self, step: str, batch_id: int | None):
         self._at = (step, batch_id)
         self.failed = False
 
     def __call__(self, step: str, batch_id: int) -> None:
-        if (step, batch_id) == self._at and not self.failed:
+        if not self.failed and step == self._at[0] and self._at[1] in (None, batch_id):
             self.failed = True
             raise RuntimeError(f"broken off after {step}")
 
 
-def restart_no_dup(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw messages in three stages; each batch breaks off once, after another step."""
+def restart_no_dup(spark: SparkSession, sf: str, chunks: int = V.CHUNKS) -> DataFrame:
+    """Raw messages in stages; each batch breaks off once, after another step."""
     root = work_dir(spark, "restart")
     source, checkpoint = ensure_dir(spark, f"{root}/raw"), f"{root}/checkpoint"
     tables = IngestTables(f"{root}/tables")
-    events = V.src_events(spark, sf)
-    for n, (step, chunk) in enumerate(zip(("ledger", "orders", "mid"), V.chunks_of(events))):
-        _stage(V.raw_messages(V.spread(chunk)), source)
-        crash = _FailOnce(step, n)
-        for attempt in range(2):
-            try:
-                catch_up(
-                    ingest_stream(read_message_files(spark, source)), ingest_writer(tables, after=crash),
-                    checkpoint, tables=tables.all(),
-                )
-            except StreamingQueryException:
-                if attempt == 1 or not crash.failed:
-                    raise
+    steps = ("ledger", "orders", "mid")
+    for n, chunk in enumerate(V.chunks_of(spark, sf, chunks=chunks)):
+        _stage(V.raw_messages(chunk), source)
+        crash = _FailOnce(steps[n % len(steps)], n)
+        stream = lambda: ingest_stream(read_message_files(spark, source))
+        _until_done(lambda: catch_up(stream(), ingest_writer(tables, after=crash), checkpoint), crash)  # noqa: B023
     mid = decode_mid(read_batches(spark, tables.mid, S.WIRE))
     return mid.select("event_id", "biz_type", "biz_key", "customer_id", "amount")
 
@@ -107,7 +142,7 @@ def replay_no_growth(spark: SparkSession, sf: str) -> DataFrame:
     root = work_dir(spark, "replay")
     source, checkpoint = ensure_dir(spark, f"{root}/raw"), f"{root}/checkpoint"
     tables = IngestTables(f"{root}/tables")
-    messages = V.raw_messages(V.spread(V.src_events(spark, sf)))
+    messages = V.raw_messages(V.src_events(spark, sf))
     again = messages.withColumns({
         "offset": F.col("offset") + F.lit(1_000_000_000_000),
         "arrival_ts": F.col("arrival_ts") + F.expr("interval 1 hour"),

@@ -18,13 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give heavy per-row work every core where a small file comes in few splits. A scan
-    with more splits than cores, as at scale, is left as it is and nothing is shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # Customers who have just signed up are not in the dimension yet, so their lookups miss.
 NEW_CUSTOMER_BASE = 1_000_000_000
 
@@ -163,6 +156,15 @@ def raw_messages(events: DataFrame) -> DataFrame:
     )
 
 
+# Broken messages grown beyond what is shown of them.
+LONG_TEXT = "concat(value, repeat('x', cast(300 + offset % 100 as int)))"
+
+
+def long_messages(events: DataFrame) -> DataFrame:
+    """Messages that start like the first fault and go on for hundreds of characters."""
+    return raw_messages(events.filter(F.col("k") == 0)).withColumn("value", F.expr(LONG_TEXT))
+
+
 # What a reader must make of those messages, stated on the source rows and not on the text.
 EXPECTED_SQL = SRC_EVENTS_SQL + """,
 expected AS (
@@ -186,28 +188,21 @@ expected AS (
 good AS (SELECT * FROM expected WHERE reject_reason IS NULL)"""
 
 
-# Batches of a staged stream: equal spans of arrival time, in order.
+# Batches of a staged stream: equal spans of time, in order.
 CHUNKS = 3
-CHUNK_CTES_SQL = """span AS (
-  SELECT epoch_us(min(arrival_ts)) AS lo, epoch_us(max(arrival_ts)) - epoch_us(min(arrival_ts)) AS width
-  FROM src_events),
-chunked AS (
-  SELECT good.*,
-         CASE WHEN epoch_us(arrival_ts) < lo + width // 3 THEN 0
-              WHEN epoch_us(arrival_ts) < lo + width * 2 // 3 THEN 1 ELSE 2 END AS chunk
-  FROM good, span)"""
-
-
-def chunks_of(events: DataFrame) -> list[DataFrame]:
-    """The staged batches, oldest first. Every row belongs to exactly one."""
-    at = F.unix_micros("arrival_ts")
-    ends = events.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).first()
-    cuts = [ends["lo"] + (ends["hi"] - ends["lo"]) * n // CHUNKS for n in range(1, CHUNKS)]
-    bounds = [None, *cuts, None]
+
+
+def chunks_of(spark: SparkSession, sf_dir: str, view=src_events_of, chunks: int = CHUNKS) -> list[DataFrame]:
+    """The staged batches of ``view`` over ``events``, oldest first. Every event is in exactly one; the bounds
+    are set on the stored column, so they reach the scan."""
+    rows = table(spark, sf_dir, "events")
+    ends = rows.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    cuts = [ends["lo"] + (ends["hi"] - ends["lo"]) * n / chunks for n in range(1, chunks)]
+    bounds = [None, *(F.expr(f"TIMESTAMP_NTZ '{cut}'") for cut in cuts), None]
     out = []
     for lo, hi in zip(bounds, bounds[1:]):
-        part = events if lo is None else events.filter(F.col("arrival_ts") >= F.timestamp_micros(F.lit(lo)))
-        out.append(part if hi is None else part.filter(F.col("arrival_ts") < F.timestamp_micros(F.lit(hi))))
+        part = rows if lo is None else rows.filter(F.col("ts") >= lo)
+        out.append(view(part if hi is None else part.filter(F.col("ts") < hi)))
     return out
 
 
@@ -262,7 +257,11 @@ dup_events AS (
 
 
 def dup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    once = src_events(spark, sf_dir).select(
+    return dup_events_of(table(spark, sf_dir, "events"))
+
+
+def dup_events_of(events: DataFrame) -> DataFrame:
+    once = src_events_of(events).select(
         "event_id", "biz_type", "customer_id", "amount", F.lit(0).alias("copy_no"), "partition", "offset", "arrival_ts"
     )
     again = once.filter(F.col("biz_type") == "click").withColumns({

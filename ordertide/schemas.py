@@ -40,6 +40,9 @@ EVENT = _struct(
     ("event_time", T.TimestampType()),
 )
 
+# Mid events that the result key cannot hold, with the names of what they lack.
+SET_ASIDE = T.StructType([*EVENT.fields, T.StructField("missing", T.StringType())])
+
 CUSTOMER = _struct(
     ("customer_id", T.LongType()),
     ("name", T.StringType()),
@@ -59,19 +62,16 @@ ORDER = _struct(
     ("updated_at", T.TimestampNTZType()),
 )
 
-# Declared for order lines; no job writes it yet.
-ORDER_ITEM = _struct(
-    ("id", T.LongType()),
-    ("order_id", T.LongType()),
-    ("sku_id", T.StringType()),
-    ("qty", T.IntegerType()),
-    ("price", AMOUNT),
-    ("created_at", T.TimestampNTZType()),
+LEDGER = _struct(
+    ("event_id", T.StringType()),
+    ("created_at", T.TimestampType()),
 )
 
-LEDGER = _struct(
+# The ledger as stored: a folder per UTC day of arrival within each batch.
+LEDGER_BY_DAY = _struct(
     ("event_id", T.StringType()),
     ("created_at", T.TimestampType()),
+    ("day", T.DateType()),
 )
 
 AGG_1MIN = _struct(
@@ -96,6 +96,7 @@ REJECT = _struct(
     ("offset", T.LongType()),
     ("arrival_ts", T.TimestampType()),
     ("reject_reason", T.StringType()),
+    ("value", T.StringType()),
     ("value_head", T.StringType()),
     ("value_length", T.IntegerType()),
 )
@@ -104,6 +105,7 @@ INGEST_LOG = _struct(
     ("arrival_ts", T.TimestampType()),
     ("event_id", T.StringType()),
     ("outcome", T.StringType()),
+    ("wait_ms", T.DoubleType()),
     ("proc_ms", T.DoubleType()),
 )
 
@@ -118,14 +120,7 @@ DAILY_KEY = ("stat_date", "biz_type")
 # Column defaults of the keyed tables.
 CUSTOMER_DEFAULTS = {"name": "", "level": "NORMAL", "region": "CN-UNKNOWN"}
 ORDER_DEFAULTS = {"amount": 0, "status": "NEW"}
-ORDER_ITEM_DEFAULTS = {"sku_id": "", "qty": 1, "price": 0}
 
 # Enumerations used on the wire and in the dimension.
 BIZ_TYPES = ("ORDER", "REFUND")
 CUSTOMER_LEVELS = ("NORMAL", "VIP", "SVIP")
-
-# Reasons a raw message is set aside, in the order they are tested.
-REJECT_REASONS = ("malformed", "missing_event_id", "bad_biz_key", "null_required")
-
-# What became of a received message.
-OUTCOMES = ("parse_error", "duplicate", "persisted", "failed")

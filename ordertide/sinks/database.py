@@ -43,10 +43,11 @@ def upsert_jdbc(
 ) -> None:
     """K4: rows travel from the executors to the staging table; the database merges them.
 
-    A replayed batch first clears its own staging rows, so it ends in the same state.
+    A replayed batch first clears its own staging rows, so it ends in the same state. The two
+    writers sit behind a shuffle, so the work before them keeps its own width.
     """
     _run(df, options, clear_statement(staging), batch_id)
-    staged = df.withColumn("batch_id", F.lit(batch_id)).coalesce(WRITERS)
+    staged = df.withColumn("batch_id", F.lit(batch_id)).repartition(WRITERS)
     target = {**options, "dbtable": staging, "batchsize": str(FLUSH_ROWS)}
     staged.write.format("jdbc").options(**target).mode("append").save()
     _run(df, options, upsert_statement(table, staging, df.columns, key), batch_id)

@@ -1,7 +1,10 @@
 """Parquet tables with one folder per micro-batch: ``<path>/batch_id=N``.
 
 A micro-batch writes only its own folder, so running it again cannot add rows, and
-readers can leave out the batch being written.
+readers can leave out the batch being written. A batch counts once its entry in
+``<path>/_commits`` is there; that small file is written last, so a folder whose move broke
+off, as it may on an object store, is not taken for a batch. ``<path>/_owner`` names the
+streaming query whose checkpoint numbers the batches; another query is refused.
 """
 
 from __future__ import annotations
@@ -40,27 +43,97 @@ def batch_path(path: str, batch_id: int) -> str:
     return f"{path}/{BATCH}={batch_id}"
 
 
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, target = _hadoop_path(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def _create_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
+    fs, target = _hadoop_path(spark, path)
+    stream = fs.create(target, overwrite)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    fs, target = _hadoop_path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = _hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    fs, old = _hadoop_path(spark, source)
+    new = _hadoop_path(spark, target)[1]
+    fs.delete(new, True)
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def commit_path(path: str, batch_id: int) -> str:
+    return f"{path}/_commits/{batch_id}"
+
+
 def is_committed(spark: SparkSession, path: str, batch_id: int) -> bool:
-    return path_exists(spark, f"{batch_path(path, batch_id)}/_SUCCESS")
+    return path_exists(spark, commit_path(path, batch_id))
+
+
+def committed_batches(spark: SparkSession, path: str) -> set[int]:
+    return {int(name) for name in _listed(spark, f"{path}/_commits") if name.isdigit()}
+
+
+def table_owner(spark: SparkSession, path: str) -> str | None:
+    return _read_text(spark, f"{path}/_owner")
+
+
+def check_owner(spark: SparkSession, path: str) -> None:
+    """Bind a table to the checkpoint that numbers its batches, or refuse a foreign one.
+
+    Spark tells the running query's id, which its checkpoint keeps. Jobs outside a stream have
+    none and number their batches themselves.
+    """
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        return
+    owner = table_owner(spark, path)
+    if owner is None and not committed_batches(spark, path):
+        _create_text(spark, f"{path}/_owner", query)
+    elif owner != query:
+        raise ValueError(f"{path} holds batches of another checkpoint than that of query {query}")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def write_batch(
+    df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (), replace: bool = False
+) -> None:
     """Write the rows of one micro-batch once.
 
-    Files are written to a hidden folder that is then renamed, so readers, streams
-    among them, see a batch whole or not at all. A committed batch is kept: its rows are a
-    function of its input and of earlier batches, and readers may have taken its files already.
+    Files go to a hidden folder that is then moved, and the commit entry comes last. A
+    committed batch is kept: its rows are a function of its input and of earlier batches, and
+    readers may have taken its files already. It is still computed, since a stateful query
+    commits its state only if its batch runs. ``replace`` is for scheduled jobs that state the
+    whole of a batch anew.
     """
     spark = df.sparkSession
-    if is_committed(spark, path, batch_id):
+    check_owner(spark, path)
+    if is_committed(spark, path, batch_id) and not replace:
+        df.write.format("noop").mode("overwrite").save()
         return
     draft = f"{path}/_writing-{batch_id}"
-    df.write.mode("overwrite").parquet(draft)
-    fs, source = _hadoop_path(spark, draft)
-    target = _hadoop_path(spark, batch_path(path, batch_id))[1]
-    fs.delete(target, True)
-    if not fs.rename(source, target):
-        raise OSError(f"could not move {draft} to {target}")
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(draft)
+    _delete(spark, commit_path(path, batch_id))
+    _move(spark, draft, batch_path(path, batch_id))
+    _create_text(spark, commit_path(path, batch_id), table_owner(spark, path) or "")
 
 
 def stream_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -71,15 +144,47 @@ def stream_batches(spark: SparkSession, path: str, schema: T.StructType) -> Data
 def read_batches(
     spark: SparkSession, path: str, schema: T.StructType, before: int | None = None
 ) -> DataFrame:
-    """All batches of a table, or those before batch ``before``; an absent table is empty."""
+    """All committed batches of a table, or those before batch ``before``; an absent table is empty."""
     with_batch = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
     rows = spark.read.schema(with_batch).parquet(ensure_dir(spark, path))
+    prefix = f"{BATCH}="
+    present = {int(name[len(prefix):]) for name in _listed(spark, path) if name.startswith(prefix)}
+    if unfinished := present - committed_batches(spark, path):
+        rows = rows.filter(~F.col(BATCH).isin(*unfinished))
     return rows if before is None else rows.filter(F.col(BATCH) < before)
 
 
-def upsert_batch(df: DataFrame, batch_id: int, path: str, now: datetime | Column) -> None:
+def merge_batches(spark: SparkSession, path: str, upto: int, rows: DataFrame, partition_by: Sequence[str] = ()) -> None:
+    """Put ``rows``, the wanted rows of all batches up to ``upto``, in place of those batches.
+
+    For the query that owns the table, between two of its batches, when it has no other reader.
+    Broken off, it is finished by :func:`finish_merge`.
+    """
+    if not is_committed(spark, path, upto):
+        raise ValueError(f"batch {upto} of {path} is not committed")
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/_merged")
+    _create_text(spark, f"{path}/_merge_upto", str(upto), overwrite=True)
+    finish_merge(spark, path)
+
+
+def finish_merge(spark: SparkSession, path: str) -> None:
+    """Complete a merge whose rows were written; without one, nothing."""
+    found = _read_text(spark, f"{path}/_merge_upto")
+    if not found:
+        return
+    upto = int(found)
+    if path_exists(spark, f"{path}/_merged"):
+        _move(spark, f"{path}/_merged", batch_path(path, upto))
+    for batch_id in committed_batches(spark, path):
+        if batch_id < upto:
+            _delete(spark, commit_path(path, batch_id))
+            _delete(spark, batch_path(path, batch_id))
+    _delete(spark, f"{path}/_merge_upto")
+
+
+def upsert_batch(df: DataFrame, batch_id: int, path: str, now: datetime | Column, replace: bool = False) -> None:
     """K4 K5: add new versions of keyed rows, stamped with the write time."""
-    write_batch(stamped(df, now), path, batch_id)
+    write_batch(stamped(df, now), path, batch_id, replace=replace)
 
 
 def read_latest(
@@ -104,6 +209,9 @@ def compact(
     """
     state = latest_wins(read_batches(spark, path, schema, before=upto + 1), key)
     write_batch(state, new_path, upto)
+    owner = table_owner(spark, path)
+    if owner is not None:
+        _create_text(spark, f"{new_path}/_owner", owner, overwrite=True)
 
 
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
@@ -118,7 +226,8 @@ def drop_expired_batches(
     """K8: delete the folders of ledger batches whose every row is older than ``ttl``.
 
     Rows of younger folders stay until their folder ages; readers filter them by time.
-    Only the batch numbers reach the driver.
+    Only the batch numbers reach the driver. Run it while no batch reads the ledger; the ingest
+    query drops expired rows itself when it merges batches.
     """
     cutoff = as_instant(now) - F.expr(f"interval {ttl}")
     aged = (
@@ -129,8 +238,8 @@ def drop_expired_batches(
     )
     dropped = sorted(row[BATCH] for row in aged.select(BATCH).collect())
     for batch_id in dropped:
-        fs, target = _hadoop_path(spark, batch_path(path, batch_id))
-        fs.delete(target, True)
+        _delete(spark, commit_path(path, batch_id))
+        _delete(spark, batch_path(path, batch_id))
     return dropped
 
 

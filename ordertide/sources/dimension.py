@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 # may be held next to every task.
 LOOKUP_TTL_SECONDS = 600
 LOOKUP_MAX_ROWS = 100_000
+# Bytes of text and keys of those rows, at most.
+LOOKUP_MAX_BYTES = 64 << 20
 
 
 def jdbc_options(
@@ -42,12 +44,14 @@ def read_jdbc_dimension(
 
 
 class DimProvider:
-    """Hands out the dimension, loading it again once ``ttl_seconds`` have passed.
+    """Holds the dimension, loading it again once ``ttl_seconds`` have passed.
+
+    Between loads it is read from the executors' copy; the source is asked again only for
+    parts lost with an executor.
 
     Call :meth:`get` inside ``foreachBatch``: a static side bound when the query starts
-    would keep its file list for good. At each load the rows are counted; only a
-    dimension of at most ``max_broadcast_rows`` is marked for broadcast, a larger one
-    is joined by shuffle.
+    would keep its file list for good. At each load rows and bytes are counted; only a
+    dimension within both bounds is marked for broadcast, a larger one is joined by shuffle.
     """
 
     def __init__(
@@ -55,18 +59,24 @@ class DimProvider:
         loader: Callable[[], DataFrame],
         ttl_seconds: int = LOOKUP_TTL_SECONDS,
         max_broadcast_rows: int = LOOKUP_MAX_ROWS,
+        max_broadcast_bytes: int = LOOKUP_MAX_BYTES,
     ):
         self._loader = loader
         self._ttl = timedelta(seconds=ttl_seconds)
-        self._max_rows = max_broadcast_rows
+        self._max_rows, self._max_bytes = max_broadcast_rows, max_broadcast_bytes
+        self._held: DataFrame | None = None
         self._loaded_at: datetime | None = None
         self._dim: DataFrame | None = None
         self.is_broadcast = False
 
     def get(self, now: datetime) -> DataFrame:
         if self._dim is None or now - self._loaded_at >= self._ttl:
-            fresh = self._loader()
-            self.is_broadcast = fresh.select("customer_id").count() <= self._max_rows
+            if self._held is not None:
+                self._held.unpersist()
+            self._held = fresh = self._loader().persist()
+            size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in fresh.columns), F.lit(0))
+            rows, bytes_ = fresh.agg(F.count(F.lit(1)), F.sum(size)).first()
+            self.is_broadcast = rows <= self._max_rows and (bytes_ or 0) <= self._max_bytes
             self._dim = F.broadcast(fresh) if self.is_broadcast else fresh
             self._loaded_at = now
         return self._dim

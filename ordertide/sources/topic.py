@@ -15,12 +15,17 @@ from pyspark.sql import types as T
 from ordertide import schemas as S
 
 
+# Admission per batch, so that the first batch after an outage is not the whole backlog.
+MAX_OFFSETS = 5_000_000
+MAX_FILES = 1000
+
+
 @dataclass(frozen=True)
 class TopicConfig:
     bootstrap: str
     topic: str
     starting_offsets: str = "earliest"
-    max_offsets_per_trigger: int | None = None
+    max_offsets_per_trigger: int | None = MAX_OFFSETS
     extra: dict[str, str] = field(default_factory=dict)
 
     def read_options(self) -> dict[str, str]:
@@ -61,7 +66,7 @@ def read_topic(spark: SparkSession, cfg: TopicConfig) -> DataFrame:
 
 
 def read_message_files(
-    spark: SparkSession, path: str, schema: T.StructType = S.MESSAGE, max_files: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType = S.MESSAGE, max_files: int | None = MAX_FILES
 ) -> DataFrame:
     """Stream of messages from a growing folder of parquet files."""
     reader = spark.readStream.schema(schema)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordertide import schemas as S
 from ordertide.operators.aggregate import agg_windowed, complete_events, incomplete_events, rollup_daily
+from ordertide.operators.dedup import dedup_stream
 from ordertide.operators.enrich import enrich
 from ordertide.sinks.tables import read_latest, upsert_batch, write_batch
 from ordertide.sources.decode import decode_mid
@@ -28,12 +30,15 @@ def aggregate_stream(messages: DataFrame) -> DataFrame:
 
 
 def aggregate_writer(
-    path: str, clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc)
+    path: str,
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    after: Callable[[str, int], None] = lambda step, batch_id: None,
 ) -> BatchWriter:
-    """K4: upsert each micro-batch's finished minutes."""
+    """K4: upsert each micro-batch's finished minutes. ``after`` is called when they are written."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert_batch(batch, batch_id, path, clock())
+        after("agg", batch_id)
 
     return write
 
@@ -49,17 +54,36 @@ def refresh_daily(
     """A2 K4: scheduled job that brings the daily table up to date from the one-minute table.
 
     ``since`` (Shanghai midnight) limits the scan to days that may have changed; days are
-    recomputed whole, so late minutes are picked up and a second run changes nothing.
+    recomputed whole, so late minutes are picked up, also by a second run of the same number.
     """
     minutes = read_latest(spark, agg_path)
     if since is not None:
         minutes = minutes.filter(F.col("window_start") >= F.lit(since).cast("timestamp_ntz"))
-    upsert_batch(rollup_daily(minutes), run_id, daily_path, now)
+    upsert_batch(rollup_daily(minutes), run_id, daily_path, now, replace=True)
+
+
+#: A mid message as a topic delivers it.
+MID_TOPIC = T.StructType([*S.WIRE.fields, T.StructField("arrival_ts", T.TimestampType())])
+
+
+def decoded_time(value: Column) -> Column:
+    """The event time in a mid message's text."""
+    return F.try_to_timestamp(F.get_json_object(value, "$.event_time"))
+
+
+def single_deliveries(messages: DataFrame) -> DataFrame:
+    """Mid messages of a topic, each event once.
+
+    A publisher that repeats a batch sends its messages again; they arrive within the horizon
+    and are dropped by event id. Messages without a readable id are passed on, each by its text.
+    """
+    event_id = F.coalesce(F.get_json_object("value", "$.event_id"), F.col("value"))
+    return dedup_stream(messages.withColumn("event_id", event_id)).select(*S.WIRE.names)
 
 
 def set_aside_stream(messages: DataFrame) -> DataFrame:
     """P10: mid events the result key cannot hold, for a query of their own on the same source."""
-    return incomplete_events(decode_mid(messages)).select(*S.EVENT.names)
+    return incomplete_events(decode_mid(messages)).select(*S.SET_ASIDE.names)
 
 
 def enriched_writer(

@@ -13,16 +13,21 @@ from pyspark.sql import types as T
 from ordertide import schemas as S
 from ordertide.functions.clock import as_instant
 from ordertide.operators.dedup import (
-    ARRIVAL_ORDER, LEDGER_HORIZON, anti_existing_narrow, first_per_key, within_horizon,
+    ARRIVAL_ORDER, CLAIM_ORDER, LEDGER_HORIZON, anti_existing_narrow, expire, first_per_key, near_claims, span_of,
+    unblocked,
 )
 from ordertide.operators.facts import to_order_row
 from ordertide.operators.upsert import rejects
 from ordertide.operators.wire import to_wire
-from ordertide.sinks.tables import read_batches, write_batch
+from ordertide.sinks.tables import finish_merge, is_committed, merge_batches, read_batches, write_batch
 from ordertide.sources.decode import accepted, decode_raw
 from ordertide.streaming.runner import BatchWriter
 
 
+# Batches between two merges of a table's small batches.
+MERGE_EVERY = 200
+
+
 @dataclass(frozen=True)
 class IngestTables:
     """Where the ingest query keeps its tables, below one shared folder."""
@@ -52,8 +57,12 @@ class IngestTables:
     def all(self) -> tuple[str, ...]:
         return self.ledger, self.orders, self.mid, self.rejects, self.log
 
-    def read(self, spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-        return read_batches(spark, path, schema)
+    def merged(self) -> dict[str, tuple[T.StructType, tuple[str, ...]]]:
+        """Tables no stream follows, whose small batches may be put together: schema and partitioning."""
+        return {
+            self.ledger: (S.LEDGER_BY_DAY, ("day",)), self.orders: (S.ORDER, ()), self.rejects: (S.REJECT, ()),
+            self.log: (S.INGEST_LOG, ()),
+        }
 
 
 def ingest_stream(messages: DataFrame) -> DataFrame:
@@ -62,23 +71,40 @@ def ingest_stream(messages: DataFrame) -> DataFrame:
     return decode_raw(messages, F.col("arrival_ts"))
 
 
-def unclaimed(firsts: DataFrame, ledger: DataFrame, horizon: str = LEDGER_HORIZON) -> DataFrame:
-    """K2 W4 for one micro-batch: rows whose id no ledger row within the horizon holds.
+def unclaimed(good: DataFrame, ledger: DataFrame, horizon: str = LEDGER_HORIZON) -> DataFrame:
+    """K2 W4 for one micro-batch: the rows that claim their event, earliest arrival first.
 
-    ``firsts`` has one persisted row per id and ``ledger`` leaves out the batch itself. The
-    horizon is counted back from the batch's oldest row, a bound that a replay finds again.
+    A row is blocked by a claim of its id within the horizon of its own arrival, whether that
+    claim is in the ledger (which leaves out the batch itself) or in the batch. Of the rows
+    left, the first of each id claims it; rows of that id beyond the horizon of that claim have
+    another turn. A batch spanning less than the horizon takes one turn. ``good`` should be
+    persisted. The answer doesn't depend on how arrivals are cut into batches.
     """
-    oldest = firsts.agg(F.min("arrival_ts")).first()[0]
-    if oldest is None:
-        return firsts
-    since = as_instant(oldest.astimezone(timezone.utc))
-    return anti_existing_narrow(firsts, within_horizon(ledger, since, horizon), "event_id")
-
-
-def outcomes(decoded: DataFrame, claims: DataFrame, now: datetime) -> DataFrame:
-    """M6: what became of each message of a batch.
-
-    Rows are matched on their position, which is unique, so copies of one id do not meet.
+    span = good.agg(F.min("arrival_ts").alias("lo"), F.max("arrival_ts").alias("hi")).first()
+    if span["lo"] is None:
+        return good
+    first, last = (t.astimezone(timezone.utc) for t in span)
+    rows = unblocked(good, near_claims(ledger, first, last, horizon), horizon)
+    claims = first_per_key(rows, "event_id", CLAIM_ORDER)
+    # Each turn moves every id's claim on by more than the horizon.
+    turn, reach = claims, F.expr(f"interval {horizon}")
+    while first + span_of(horizon) < last:
+        until = turn.select(F.col("event_id").alias("_id"), (F.col("arrival_ts") + reach).alias("_until"))
+        rows = rows.join(until, (F.col("event_id") == F.col("_id")) & (F.col("arrival_ts") > F.col("_until"))).drop("_id", "_until")
+        turn = first_per_key(rows, "event_id", CLAIM_ORDER)
+        begins = turn.agg(F.min("arrival_ts")).first()[0]
+        if begins is None:
+            break
+        claims, first = claims.unionByName(turn), begins.astimezone(timezone.utc)
+    return claims
+
+
+def outcomes(decoded: DataFrame, claims: DataFrame, now: datetime, done: datetime) -> DataFrame:
+    """M6: what became of each message of a batch that began at ``now`` and was ``done`` later.
+
+    ``wait_ms`` is from a message's arrival to the start of its batch, ``proc_ms`` the work on the
+    batch that held it. Rows are matched on their position, which is unique, so copies of one
+    id do not meet.
     """
     won = claims.select(*ARRIVAL_ORDER, F.lit(True).alias("_won"))
     outcome = (
@@ -87,41 +113,63 @@ def outcomes(decoded: DataFrame, claims: DataFrame, now: datetime) -> DataFrame:
         .when(F.col("_won"), "persisted")
         .otherwise("duplicate")
     )
-    took = (F.unix_micros(as_instant(now)) - F.unix_micros("arrival_ts")) / F.lit(1000.0)
+    waited = (F.unix_micros(as_instant(now)) - F.unix_micros("arrival_ts")) / F.lit(1000.0)
+    worked = F.lit((done - now).total_seconds() * 1000.0)
     slim = decoded.select(*ARRIVAL_ORDER, "arrival_ts", "event_id", "reject_reason")
     return slim.join(won, list(ARRIVAL_ORDER), "left").select(
-        "arrival_ts", "event_id", outcome.alias("outcome"), took.alias("proc_ms")
+        "arrival_ts", "event_id", outcome.alias("outcome"), waited.alias("wait_ms"), worked.alias("proc_ms")
     )
 
 
+def merge_history(spark: SparkSession, tables: IngestTables, upto: int, now: datetime, horizon: str = LEDGER_HORIZON) -> None:
+    """Put the batches up to ``upto`` of each table together. Claims older than the horizon go, counted from
+    the newest claim at the latest, so a backlog still finds those that block it."""
+    for path, (schema, partition_by) in tables.merged().items():
+        if not is_committed(spark, path, upto):
+            continue
+        rows = read_batches(spark, path, schema, before=upto + 1).select(*schema.names)
+        if path == tables.ledger:
+            newest = rows.agg(F.max("created_at")).first()[0]
+            if newest is not None:
+                rows = expire(rows, min(now, newest.astimezone(timezone.utc)), horizon)
+        merge_batches(spark, path, upto, rows, partition_by)
+
+
 def ingest_writer(
     tables: IngestTables,
     publish: BatchWriter | None = None,
     horizon: str = LEDGER_HORIZON,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
     after: Callable[[str, int], None] = lambda step, batch_id: None,
+    merge_every: int = MERGE_EVERY,
 ) -> BatchWriter:
     """The ``foreachBatch`` function of query 1, for batches of :func:`ingest_stream`.
 
     Every write is a function of the batch's input and of earlier batches, so a batch that
     broke off anywhere is simply run again: committed folders stay, missing ones are
     added, and no event is lost or repeated. ``publish`` replaces the mid table, for example by
-    a topic. ``after`` is called when a step is done.
+    a topic. ``after`` is called when a step is done. Every ``merge_every`` batches the earlier
+    batches of the tables no stream follows become one, and expired claims go.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, now = batch.sparkSession, clock()
         publish_mid = publish or (lambda df, n: write_batch(df, tables.mid, n))
         decoded = batch.persist()
-        firsts = first_per_key(accepted(decoded), "event_id", ARRIVAL_ORDER).persist()
-        earlier_claims = read_batches(spark, tables.ledger, S.LEDGER, before=batch_id)
-        claims = unclaimed(firsts, earlier_claims, horizon).persist()
+        for path in tables.merged():
+            finish_merge(spark, path)
+        if batch_id and batch_id % merge_every == 0:
+            merge_history(spark, tables, batch_id - 1, now, horizon)
+        earlier_claims = read_batches(spark, tables.ledger, S.LEDGER_BY_DAY, before=batch_id)
+        claims = unclaimed(accepted(decoded), earlier_claims, horizon).persist()
         orders = first_per_key(
             to_order_row(claims, now, keep=ARRIVAL_ORDER), "order_id", ARRIVAL_ORDER
         ).persist()
         try:
-            ledger_rows = claims.select("event_id", F.col("arrival_ts").alias("created_at"))
-            write_batch(ledger_rows, tables.ledger, batch_id)
+            ledger_rows = claims.select(
+                "event_id", F.col("arrival_ts").alias("created_at"), F.to_date("arrival_ts").alias("day")
+            )
+            write_batch(ledger_rows, tables.ledger, batch_id, partition_by=("day",))
             after("ledger", batch_id)
             stored = read_batches(spark, tables.orders, S.ORDER, before=batch_id)
             write_batch(
@@ -131,10 +179,10 @@ def ingest_writer(
             publish_mid(to_wire(claims, F.col("arrival_ts")), batch_id)
             after("mid", batch_id)
             write_batch(rejects(decoded), tables.rejects, batch_id)
-            write_batch(outcomes(decoded, claims, now), tables.log, batch_id)
+            write_batch(outcomes(decoded, claims, now, clock()), tables.log, batch_id)
             after("log", batch_id)
         finally:
-            for held in (orders, claims, firsts, decoded):
+            for held in (orders, claims, decoded):
                 held.unpersist()
 
     return write

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ordertide.sinks.tables import BATCH, path_exists
+from ordertide.sinks.tables import committed_batches, path_exists
 
 # Fixed value: time between checkpoints of the aggregate query.
 TRIGGER_SECONDS = 60
@@ -18,13 +18,14 @@ BatchWriter = Callable[[DataFrame, int], None]
 def check_fresh_start(df: DataFrame, checkpoint: str, tables: Iterable[str]) -> None:
     """Refuse a new checkpoint over tables that already hold batches.
 
-    Batch numbers start again at 0 with a new checkpoint and would be taken for replays.
+    Batch numbers start again at 0 with a new checkpoint. The writer refuses such a table in any
+    case; this says so before the query starts.
     """
     spark = df.sparkSession
     if path_exists(spark, f"{checkpoint}/offsets"):
         return
     for path in tables:
-        if path_exists(spark, f"{path}/{BATCH}=0"):
+        if committed_batches(spark, path):
             raise ValueError(f"{path} holds batches of another checkpoint than {checkpoint}")
 
 
