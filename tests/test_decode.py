@@ -100,11 +100,12 @@ def test_filter_parses_each_message_once(spark):
     assert plan.count("from_json") == 1
 
 
-def test_rejects_keep_reason_head_and_length(spark):
+def test_rejects_keep_reason_whole_text_and_length(spark):
     long_text = "{" + "x" * 400
     row = rejects(decode(spark, long_text, message())).collect()
     assert len(row) == 1
     assert (row[0].reject_reason, row[0].value_head, row[0].value_length) == ("malformed", long_text[:256], 401)
+    assert row[0].value == long_text
 
 
 def test_wire_form(spark):

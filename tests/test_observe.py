@@ -15,7 +15,7 @@ T0 = datetime(2026, 5, 9, 2, 0, 0, tzinfo=timezone.utc)
 
 def log(spark, rows):
     """rows: (seconds after T0, outcome, proc_ms)."""
-    return spark.createDataFrame([(T0 + timedelta(seconds=s), str(i), o, p) for i, (s, o, p) in enumerate(rows)], S.INGEST_LOG)
+    return spark.createDataFrame([(T0 + timedelta(seconds=s), str(i), o, 0.0, p) for i, (s, o, p) in enumerate(rows)], S.INGEST_LOG)
 
 
 def minute_of(ts):
@@ -86,6 +86,15 @@ def test_runs_go_on_over_midnight_and_over_whole_days(spark):
     assert runs(spark, apart, buckets=1) == [(midnight - 1, midnight - 1, 1), (midnight + 1, midnight + 1, 1)]
 
 
+def test_runs_follow_the_step_of_their_series(spark):
+    steps = [(T0 + timedelta(seconds=10 * k), 1) for k in range(6)] + [(T0 + timedelta(seconds=80 + 10 * k), 1) for k in range(4)]
+    df = spark.createDataFrame(steps, "window_start timestamp, breach int")
+    found = observe.sustained(df, F.col("breach") == 1, 5, step_seconds=10).collect()
+    assert [(r.buckets, (r.run_end - r.run_start).total_seconds()) for r in found] == [(6, 50.0)]
+    with pytest.raises(ValueError, match="divide"):
+        observe.sustained(df, F.col("breach") == 1, 5, step_seconds=7)
+
+
 def test_balance(spark):
     rows = [(0, o, 1.0) for o in ("persisted", "duplicate", "failed", "parse_error", "persisted")]
     assert tuple(observe.balance(log(spark, rows)).first()) == (5, 1, 1, 2, 1, 0)

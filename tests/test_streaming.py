@@ -13,13 +13,15 @@ from ordertide import schemas as S
 from ordertide.operators import aggregate as A
 from ordertide.operators import observe
 from ordertide.operators.aggregate import agg_windowed
-from ordertide.operators.dedup import dedup_stream
+from ordertide.operators.dedup import dedup_stream, near_claims
 from ordertide.sinks import tables as tab
 from ordertide.sources import synth
 from ordertide.sources.decode import decode_mid
 from ordertide.sources.dimension import DimProvider
 from ordertide.sources.topic import read_message_files
-from ordertide.streaming.aggregate import aggregate_stream, aggregate_writer, enriched_writer, refresh_daily, set_aside_stream
+from ordertide.streaming.aggregate import (
+    MID_TOPIC, aggregate_stream, aggregate_writer, enriched_writer, refresh_daily, set_aside_stream, single_deliveries,
+)
 from ordertide.streaming.ingest import IngestTables, ingest_stream, ingest_writer
 from ordertide.streaming.runner import catch_up
 
@@ -112,7 +114,7 @@ def test_incomplete_mid_events_go_to_their_own_query(spark, tmp_path):
     src.add(wire(mid_json("a", 10), mid_json("b", 10, customer=None), "{bad"))
     out = str(tmp_path / "aside")
     catch_up(set_aside_stream(src.stream()), lambda df, n: tab.write_batch(df, out, n), str(tmp_path / "check"))
-    assert [r.event_id for r in tab.read_batches(spark, out, S.EVENT).collect()] == ["b"]
+    assert [(r.event_id, r.missing) for r in tab.read_batches(spark, out, S.SET_ASIDE).collect()] == [("b", "customer_id")]
 
 
 def test_dimension_change_is_seen_between_batches(spark, tmp_path):
@@ -160,21 +162,65 @@ def ingest(spark, tmp_path):
     return Ingest(spark, tmp_path)
 
 
-ONE, TWO = Decimal("1.0000"), Decimal("2.0000")
+ONE, TWO, THREE = Decimal("1.0000"), Decimal("2.0000"), Decimal("3.0000")
 
 
 def test_copies_in_one_batch_later_batches_and_after_seven_days(ingest):
     ingest.src.add([raw("a", 5), raw("a", 9, amount="2.0000"), raw("a", 1, partition=1, amount="3.0000")])
     ingest.src.add([raw("a", 20), raw("b", 21, amount="2.0000")])
     ingest.run()
-    assert ingest.mid() == [("a", ONE), ("b", TWO)]
+    assert ingest.mid() == [("a", THREE), ("b", TWO)]  # the earliest arrival claims, wherever it came from
     ingest.src.add([raw("a", 30, days=6)])
     ingest.run()
-    assert ingest.mid() == [("a", ONE), ("b", TWO)]
+    assert ingest.mid() == [("a", THREE), ("b", TWO)]
     ingest.src.add([raw("a", 40, days=8)])
     ingest.run()
-    assert ingest.mid() == [("a", ONE), ("a", ONE), ("b", TWO)]
-    assert ingest.orders() == [(1, ONE)]
+    assert ingest.mid() == [("a", ONE), ("a", THREE), ("b", TWO)]
+    assert ingest.orders() == [(1, THREE)]
+
+
+@pytest.mark.parametrize("cuts", [(), (1,), (1, 2), (1, 2, 3, 4, 5)])
+def test_claims_do_not_depend_on_how_batches_are_cut(ingest, cuts):
+    sent = [raw("a", 1), raw("b", 2), raw("a", 3, days=6.9), raw("a", 4, days=8), raw("b", 5, days=8.5), raw("a", 6, days=14.5)]
+    for lo, hi in zip((0, *cuts), (*cuts, len(sent))):
+        ingest.src.add(sent[lo:hi])
+    ingest.run()
+    claimed = tab.read_batches(ingest.spark, ingest.tables.ledger, S.LEDGER).collect()
+    assert sorted((r.event_id, (r.created_at.replace(tzinfo=UTC) - T0).days) for r in claimed) == [("a", 0), ("a", 8), ("b", 0), ("b", 8)]
+
+
+def test_old_row_in_a_late_batch_does_not_widen_the_horizon(ingest):
+    ingest.src.add([raw("a", 1)])
+    ingest.src.add([raw("x", 2, days=6), raw("a", 3, days=8)])
+    ingest.run()
+    assert [e for e, _ in ingest.mid()] == ["a", "a", "x"]
+
+
+def test_history_is_merged_and_pruned_by_day(ingest):
+    for n in range(7):
+        ingest.src.add([raw(f"e{n}", n, days=n * 2, key=f"order-{n}"), raw("again", n, days=n / 24, key="order-50")])
+    ingest.run(merge_every=3)
+    ledger = tab.read_batches(ingest.spark, ingest.tables.ledger, S.LEDGER_BY_DAY)
+    assert tab.committed_batches(ingest.spark, ingest.tables.ledger) == {5, 6}
+    assert ingest.orders() == [(n, ONE) for n in range(7)] + [(50, ONE)]
+    assert [e for e, _ in ingest.mid()] == ["again"] + [f"e{n}" for n in range(7)]
+    near = near_claims(ledger, T0 + timedelta(days=12), T0 + timedelta(days=12))
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "day#" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert {r.event_id for r in near.collect()} == {"e3", "e4", "e5", "e6"}
+
+
+def test_broken_off_merge_is_finished(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [spark.createDataFrame([(f"e{n}", T0)], S.LEDGER) for n in range(3)]
+    for n, df in enumerate(rows):
+        tab.write_batch(df, path, n)
+    tab.read_batches(spark, path, S.LEDGER).select(*S.LEDGER.names).write.parquet(f"{path}/_merged")
+    tab._create_text(spark, f"{path}/_merge_upto", "2")
+    tab.finish_merge(spark, path)
+    assert tab.committed_batches(spark, path) == {2}
+    assert sorted(r.event_id for r in tab.read_batches(spark, path, S.LEDGER).collect()) == ["e0", "e1", "e2"]
+    tab.finish_merge(spark, path)
 
 
 def test_outcomes_balance_and_rejects_are_kept(ingest):
@@ -214,13 +260,67 @@ def test_batch_is_visible_whole_or_not_at_all(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(3).withColumn("event_id", F.col("id").cast("string")).select("event_id", F.lit(T0).alias("created_at"))
     tab.write_batch(df, path, 0)
-    os.rename(tab.batch_path(path, 0), f"{path}/_writing-1")
+    os.remove(tab.commit_path(path, 0))                # a move that broke off leaves a folder and no entry
     assert tab.read_batches(spark, path, S.LEDGER).count() == 0
     tab.write_batch(df.limit(2), path, 1)
     assert tab.read_batches(spark, path, S.LEDGER).count() == 2
-    tab.write_batch(df, path, 1)
+    tab.write_batch(df, path, 1)                       # committed: kept
     assert tab.read_batches(spark, path, S.LEDGER).count() == 2
-    assert sorted(n for n in os.listdir(path) if not n.startswith(".")) == ["batch_id=1"]
+    tab.write_batch(df, path, 1, replace=True)
+    tab.write_batch(df.limit(1), path, 0)
+    assert tab.read_batches(spark, path, S.LEDGER).count() == 4
+
+
+def test_aggregate_broken_off_after_its_write_needs_one_restart(spark, tmp_path):
+    src = Folder(spark, tmp_path / "mid", S.WIRE)
+    out, check, broken = str(tmp_path / "agg"), str(tmp_path / "check"), []
+    src.add(wire(mid_json("a", 10), mid_json("b", 70)))
+    src.add(wire(mid_json("c", 15), mid_json("z", FAR)))
+
+    def crash(step, batch_id):
+        if not broken:
+            broken.append(batch_id)
+            raise RuntimeError("broken off")
+
+    with pytest.raises(StreamingQueryException):
+        catch_up(aggregate_stream(src.stream(False)), aggregate_writer(out, after=crash), check)
+    catch_up(aggregate_stream(src.stream(False)), aggregate_writer(out), check)
+    assert agg_rows(spark, out) == {("10:00", 1): 2, ("10:01", 1): 1}
+
+
+def test_compacted_table_takes_its_own_query_and_no_other(spark, tmp_path):
+    src = Folder(spark, tmp_path / "mid", S.WIRE)
+    out, packed, check = (str(tmp_path / n) for n in ("agg", "packed", "check"))
+    src.add(wire(mid_json("a", 10), mid_json("b", 70)))
+    catch_up(aggregate_stream(src.stream()), aggregate_writer(out), check)
+    last = max(tab.committed_batches(spark, out))
+    tab.compact(spark, out, packed, upto=last)
+    src.add(wire(mid_json("z", FAR)))
+    with pytest.raises(StreamingQueryException, match="another checkpoint"):
+        catch_up(aggregate_stream(src.stream()), aggregate_writer(packed), str(tmp_path / "other"))
+    catch_up(aggregate_stream(src.stream()), aggregate_writer(packed), check)
+    assert agg_rows(spark, packed) == {("10:00", 1): 1, ("10:01", 1): 1}
+
+
+def test_second_daily_run_of_one_number_sees_late_minutes(spark, tmp_path):
+    agg, daily = str(tmp_path / "agg"), str(tmp_path / "daily")
+    schema = "window_start timestamp_ntz, biz_type string, customer_id long, order_cnt long, amount_sum decimal(18,4)"
+    for n, minute in enumerate((0, 1)):
+        tab.upsert_batch(spark.createDataFrame([(datetime(2026, 5, 9, 10, minute), "ORDER", 1, 1, ONE)], schema), n, agg, T0)
+        refresh_daily(spark, agg, daily, 7, T0)
+    assert [r.order_cnt for r in tab.read_latest(spark, daily, S.AGG_DAILY, S.DAILY_KEY).collect()] == [2]
+
+
+def test_repeated_deliveries_are_counted_once(spark, tmp_path):
+    src = Folder(spark, tmp_path / "topic", MID_TOPIC)
+    once, out = str(tmp_path / "once"), str(tmp_path / "agg")
+    a, b, z = mid_json("a", 10), mid_json("b", 20), mid_json("z", FAR)
+    src.add([("k", a, T0), ("k", a, T0 + timedelta(seconds=5)), ("k", "{bad", T0)])
+    src.add([("k", a, T0 + timedelta(seconds=9)), ("k", b, T0), ("k", z, T0)])
+    catch_up(single_deliveries(src.stream()), lambda df, n: tab.write_batch(df, once, n), str(tmp_path / "c1"))
+    catch_up(aggregate_stream(tab.stream_batches(spark, once, S.WIRE)), aggregate_writer(out), str(tmp_path / "c2"))
+    assert agg_rows(spark, out) == {("10:00", 1): 2}
+    assert tab.read_batches(spark, once, S.WIRE).count() == 4
 
 
 def test_new_checkpoint_over_old_tables_is_refused(ingest, tmp_path):
@@ -278,11 +378,11 @@ def test_daily_table_and_ad_hoc_sql(spark, tmp_path):
         ("2026-05-08", "ORDER"): (1, ONE), ("2026-05-09", "ORDER"): (2, TWO), ("2026-05-09", "REFUND"): (1, -ONE),
     }
     tab.register_views(spark, {"agg_order_1min": tab.read_latest(spark, agg), "agg_order_daily": state})
-    recent = spark.sql("""
-        SELECT window_start, biz_type, SUM(order_cnt) AS n, SUM(amount_sum) AS s FROM agg_order_1min
-        WHERE window_start >= TIMESTAMP_NTZ '2026-05-09 10:05:00' - INTERVAL 10 MINUTE
-        GROUP BY window_start, biz_type ORDER BY window_start DESC LIMIT 20""").collect()
-    assert [(r.biz_type, r.n, r.s) for r in recent] == [("REFUND", 1, -ONE)]
+    told = spark.sql("""
+        WITH busiest AS (SELECT customer_id, max(window_start) AS last_minute, count(*) AS minutes FROM agg_order_1min GROUP BY customer_id)
+        SELECT b.customer_id, b.minutes, d.biz_type FROM busiest b
+        JOIN agg_order_daily d ON d.stat_date = to_date(b.last_minute) AND d.biz_type = 'REFUND'""").collect()
+    assert sorted((r.customer_id, r.minutes, r.biz_type) for r in told) == [(1, 2, "REFUND"), (2, 1, "REFUND")]
 
 
 def test_expired_ledger_batches_are_dropped_whole(spark, tmp_path):
