@@ -116,11 +116,25 @@ def test_spelling_model_is_a_distribution(spark):
 
 
 def test_restaurant_probabilities_sum_to_one():
-    rng, draws = random.Random(1), np.random.default_rng(1)
-    base = [0.5, 0.3, 0.2]
-    alpha, beta, tables = pitmanyor.restaurant([500, 3, 0], base, 0.6, 1.0, rng, draws)
-    assert sum(alpha) + beta * sum(base) == pytest.approx(1.0)
-    assert tables[1] in (1, 2, 3) and tables[2] == 0 and tables[0] > 1
+    c, base = np.array([5000, 500, 3, 0, 2, 0]), np.array([0.5, 0.2, 0.2, 0.1, 0.6, 0.4])
+    alpha, beta, tables, mean = pitmanyor.gibbs(c, base, np.array([0, 0, 0, 0, 1, 1]), 0.6, 1.0, [1])
+    for own in (slice(0, 4), slice(4, 6)):
+        assert (alpha[own] + beta[own] * base[own]).sum() == pytest.approx(1.0)
+    assert tables[2] in (1, 2, 3) and tables[3] == 0 and tables[0] > tables[2] and mean[4] >= 1
+
+
+def test_blocks_are_drawn_as_single_moves_would():
+    """The table counts drawn at once against those of many single Gibbs moves."""
+    rng, draws = random.Random(9), np.random.default_rng(9)
+    at_once = pitmanyor.draw_tables(np.full(4000, 12), np.full(4000, 1.7), 0.5, draws)
+    sizes, counts = pitmanyor.seat(12, 1.7, 0.5, rng, draws), []
+    for k in range(60_000):
+        pitmanyor._leave(sizes, 12, rng)
+        pitmanyor._sit(sizes, 11, 1.7, 0.5, rng)
+        if k % 12 == 0:
+            counts.append(len(sizes))
+    assert at_once.mean() == pytest.approx(np.mean(counts), rel=0.03)
+    assert at_once.std() == pytest.approx(np.std(counts), rel=0.08)
 
 
 def test_direct_draw_of_tables_agrees_with_one_by_one():
