@@ -29,6 +29,21 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of one Arrow batch handed to Python.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with batches for Python bounded by bytes, so that long texts don't add up in a worker.
+
+    Sets the session's bound if it is larger.
+    """
+    name, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name).rstrip("b")) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z and nothing else. Where bytes and characters are as many, the plain function does just that."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, UPPER.lower()))

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordertide.llm.common import bounded_batches
+
 DIMENSIONS, SEED = 1024, 9
 BLANK = 0
 UNKNOWN = "und"
@@ -129,7 +131,7 @@ def profiles(labelled: DataFrame, text: str = "text", lang: str = "lang") -> dic
         for name in [*counts]:
             yield _summed(name, counts.pop(name))
 
-    rows = labelled.where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = bounded_batches(labelled).where(F.col(lang).isNotNull()).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
     parts = rows.mapInPandas(run, "lang string, dim int, value double")
     # As many rows as languages times dimensions.
     found = parts.groupBy("lang", "dim").agg(F.sum("value").alias("value")).collect()
@@ -176,7 +178,7 @@ def held_out(doc_id: Column, fold: int = 2, folds: int = 4) -> Column:
 
 def identify(df: DataFrame, learned: dict[str, np.ndarray], text: str = "text", out: str = "predicted") -> DataFrame:
     """``df`` with a struct (lang, score)."""
-    return df.withColumn(out, predictor(learned)(F.col(text)))
+    return bounded_batches(df).withColumn(out, predictor(learned)(F.col(text)))
 
 
 def learn(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> dict[str, np.ndarray]:

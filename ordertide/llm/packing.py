@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import durable
+from ordertide.llm.common import bounded_batches, durable
 
 CAPACITY, END_ID = 1024, 2
 VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
@@ -43,7 +43,7 @@ RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: Texts with these are given to the tokenizer whole: libraries differ on whether they are white space, or they are one token.
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f", "\x85", "\u180e", "<|endoftext|>")
 #: Known runs per worker.
-MAX_KNOWN = 600_000
+MAX_KNOWN = 300_000
 
 Pattern = tuple[int, ...]
 
@@ -131,7 +131,7 @@ def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity:
     names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "local", *["ids"] * keep_ids]
     kind = df.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, part int, local long" + ", ids array<long>" * keep_ids
-    return df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
+    return bounded_batches(df).select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, schema)
 
 
 # --- the plan ----------------------------------------------------------------

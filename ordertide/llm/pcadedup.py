@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.common import durable
+from ordertide.llm.common import bounded_batches, durable
 from ordertide.llm.components import components
 
 THRESHOLD, TILE, CELL_AXES = 0.98, 1024, 3
@@ -199,7 +199,7 @@ def links(distinct: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -
 def near_duplicates(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
                     threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """One row per row of ``df``: (vec_id, n_links, component_id, kept)."""
-    distinct = comparable(df, vec_id, embedding, label)
+    distinct = comparable(bounded_batches(df), vec_id, embedding, label)
     found = durable(links(distinct, threshold, tile))
     rooted = components(found, "node", "other")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))

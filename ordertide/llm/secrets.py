@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ordertide.llm.common import bounded_batches
+
 KINDS = ("assign", "access", "hex", "github", "npm")
 BASE_KINDS = KINDS[:3]
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 8, 16, 32
@@ -141,12 +143,12 @@ def redacted(texts: pd.Series) -> pd.Series:
 
 def scan(df: DataFrame, text: str = "text", out: str = "secret_spans") -> DataFrame:
     """``df`` with a column of spans (kind, start, end). Empty, never null."""
-    return df.withColumn(out, secret_spans(F.col(text)))
+    return bounded_batches(df).withColumn(out, secret_spans(F.col(text)))
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with all secrets in ``text`` replaced; a null text stays null."""
-    return df.withColumn(text, redacted(F.col(text)))
+    return bounded_batches(df).withColumn(text, redacted(F.col(text)))
 
 
 def _of(spans: Column, kinds: tuple[str, ...]) -> Column:

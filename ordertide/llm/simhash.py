@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ordertide.llm.common import durable
+from ordertide.llm.common import bounded_batches, durable
 from ordertide.llm.components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -89,7 +89,7 @@ def classes(prints: DataFrame, fp: str = "fp", doc_id: str = "doc_id") -> DataFr
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id), one row per row of ``df``."""
-    prints = durable(df.select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text)).alias("fp")))
+    prints = durable(bounded_batches(df).select(F.col(doc_id).alias("doc_id"), fingerprints(F.col(text)).alias("fp")))
     return prints.join(classes(prints), "fp").select("doc_id", "fp", "component_id")
 
 
@@ -100,7 +100,7 @@ def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     component of null ids keeps a row of its smallest fingerprint.
     """
     key = ["_near_fp", "_near_id", "_near_null"]
-    tagged = df.withColumns({
+    tagged = bounded_batches(df).withColumns({
         "_near_fp": fingerprints(F.col(text)), "_near_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_near_null": F.col(doc_id).isNull(),
     })
     prints = durable(tagged.select(F.col("_near_fp").alias("fp"), F.col(doc_id).alias("doc_id"), "_near_id", "_near_null"))

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordertide.llm.common import bounded_batches
+
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
@@ -101,7 +103,7 @@ def derive(records: DataFrame) -> DataFrame:
 
     kind = records.schema["page_id"].dataType.simpleString()
     types = ", ".join(f"{f} {'long' if f == 'content_length' else 'string'}" for f in FIELDS)
-    return records.mapInPandas(run, f"page_id {kind}, {types}")
+    return bounded_batches(records).mapInPandas(run, f"page_id {kind}, {types}")
 
 
 def serialised() -> Column:
