@@ -78,10 +78,10 @@ def links(prints: DataFrame, fp: str = "fp", radius: int = RADIUS) -> DataFrame:
     return met.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b").distinct()
 
 
-def classes(prints: DataFrame, fp: str = "fp", doc_id: str = "doc_id") -> DataFrame:
-    """(fp, root, component_id) of every distinct fingerprint in ``prints``."""
+def classes(prints: DataFrame, fp: str = "fp", doc_id: str = "doc_id", found: DataFrame | None = None) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint in ``prints``; ``found`` are other links than those of ``links``."""
     own = durable(prints.groupBy(F.col(fp).alias("fp")).agg(F.min(doc_id).alias("first_id")))
-    rooted = own.join(components(links(own)).withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = own.join(components(links(own) if found is None else found).withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.withColumn("root", F.coalesce("component", "fp"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return rooted.select("fp", "root").join(least, "root")
@@ -93,18 +93,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return prints.join(classes(prints), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(df: DataFrame, doc_id: str = "doc_id", text: str = "text", printed=fingerprints, grouped=classes) -> DataFrame:
     """``df`` with one row of each component: the smallest id; of rows that share it, one.
 
+    ``printed`` and ``grouped`` can give other fingerprints and classes.
+
     Only ids and fingerprints are grouped; whole rows move once, to meet the chosen ids. A
     component of null ids keeps a row of its smallest fingerprint.
     """
     key = ["_near_fp", "_near_id", "_near_null"]
     tagged = bounded_batches(df).withColumns({
-        "_near_fp": fingerprints(F.col(text)), "_near_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_near_null": F.col(doc_id).isNull(),
+        "_near_fp": printed(F.col(text)), "_near_id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "_near_null": F.col(doc_id).isNull(),
     })
     prints = durable(tagged.select(F.col("_near_fp").alias("fp"), F.col(doc_id).alias("doc_id"), "_near_id", "_near_null"))
-    rooted = prints.join(classes(prints), "fp")
+    rooted = prints.join(grouped(prints), "fp")
     chosen = rooted.groupBy("root").agg(F.min(F.struct("_near_null", "doc_id", "fp", "_near_id")).alias("k"))
     chosen = chosen.select(F.col("k.fp").alias("_near_fp"), "k._near_id", "k._near_null")
     again = Window.partitionBy(*key).orderBy(F.xxhash64(F.col(text)))
