@@ -33,6 +33,8 @@ from ordertide.llm.components import components
 THRESHOLD, TILE, CELL_AXES = 0.98, 1024, 3
 #: Coordinates added per step; room for rounding in bounds.
 STEP, SLACK = 8, 1e-9
+#: Numbers of a side gathered at once while pairs are checked.
+NUMBERS = 1 << 20
 
 
 def comparable(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
@@ -99,6 +101,12 @@ def steps(d: int) -> list[int]:
     return [*range(STEP, d, STEP), d]
 
 
+def dots(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Products of rows ``i`` of ``a`` with rows ``j`` of ``b``, ``NUMBERS`` gathered at once."""
+    step = max(1, NUMBERS // max(1, a.shape[1]))
+    return np.concatenate([np.einsum("ij,ij->i", a[i[k : k + step]], b[j[k : k + step]]) for k in range(0, len(i), step)])
+
+
 def close_pairs(a: dict[str, np.ndarray], b: dict[str, np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers in ``a`` and ``b`` of all pairs at or above the threshold."""
     za, zb, d = a["z"], b["z"], a["z"].shape[1]
@@ -111,13 +119,13 @@ def close_pairs(a: dict[str, np.ndarray], b: dict[str, np.ndarray], threshold: f
             i, j = np.nonzero(sums + ra[:, None] * rb >= threshold - SLACK)
             total = sums[i, j]
         else:
-            total = total + np.einsum("ij,ij->i", za[i, begin:end], zb[j, begin:end])
+            total = total + dots(za[:, begin:end], zb[:, begin:end], i, j)
             left = total + ra[i] * rb[j] >= threshold - SLACK
             i, j, total = i[left], j[left], total[left]
         begin = end
         if not len(i):
             return i, j
-    exact = np.einsum("ij,ij->i", a["u"][i], b["u"][j]) >= threshold
+    exact = dots(a["u"], b["u"], i, j) >= threshold
     return i[exact], j[exact]
 
 
