@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertide.llm import chat, decontam, langid, packing, pcadedup, pitmanyor, secrets, simhash, urlfilter, warc
+from ordertide.llm import (
+    chat, decontam, hardneg, langid, packing, pcadedup, pitmanyor, secrets, simhash, spelling, topk, urlfilter, warc,
+)
 from ordertide.llm.common import table
 
 
@@ -63,5 +65,17 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pcadedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.mine(hardneg.moved_labels(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")))
+
+
 def registered() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}

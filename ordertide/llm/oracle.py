@@ -152,7 +152,74 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, coalesce(vec_id
 FROM given JOIN rooted USING (r) LEFT JOIN counted USING (r)"""
 
 
+def _spelling_variants() -> str:
+    left_out = "substr({0}, 1, {1}) || substr({0}, {1} + 2)"
+    return f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda c: {_bit_steps("c")}) AS steps),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({LOWER.format("text")}, '[a-z\u00C0-\u00FF]{{7,}}')) AS run FROM documents
+), said AS (SELECT doc_id, run, count(*) AS times FROM runs GROUP BY ALL),
+bytes AS (
+  SELECT run, times, list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':', ''), lambda c: [ord(c)::BIGINT])
+    || list_transform(string_split(run, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195::BIGINT, ord(c) - 64] END) AS b FROM said
+), checked AS (
+  SELECT run, times, xor(4294967295, list_reduce([4294967295::BIGINT] || flatten(b), lambda c, x: xor(c >> 8, steps[(xor(c, x) & 255) + 1]))) AS h
+  FROM bytes, crc
+), cut AS (
+  SELECT times, CASE WHEN h % 31 = 0 THEN {left_out.format("run", "(h % length(run))")} ELSE run END AS word FROM checked
+), words AS (SELECT word, sum(times)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+rest AS (SELECT word, n, k, {left_out.format("word", "k")} AS r FROM (SELECT word, n, unnest(range(length(word))) AS k FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS m FROM rest a JOIN rest b ON a.r = b.r AND a.k = b.k AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM rest a JOIN words b ON a.r = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM rest a JOIN words b ON a.r = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS other, max(m) AS m, any_value(n) AS n FROM near GROUP BY word
+), formed AS (SELECT word, n_near, CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n FROM best),
+ways AS (
+  SELECT word, word AS root FROM words UNION ALL
+  SELECT ways.word, formed.form FROM ways JOIN formed ON formed.word = ways.root WHERE formed.form IS NOT NULL
+), ends AS (SELECT ways.word, ways.root FROM ways LEFT JOIN formed ON formed.word = ways.root WHERE formed.form IS NULL)
+SELECT word, form, root, n, coalesce(n_near, 0)::BIGINT AS n_near, form_n
+FROM words LEFT JOIN formed USING (word) JOIN ends USING (word)"""
+
+
+def _whole(scale: int, more: str = "") -> str:
+    return f"""
+WITH given AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v{more} FROM embeddings
+), good AS (
+  SELECT * EXCLUDE v, list_transform(v, lambda x: floor({scale} * x)) AS v FROM given
+  WHERE vec_id IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)"""
+
+
+def _exact_top_k() -> str:
+    return _whole(64) + """
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score,
+         row_number() OVER (PARTITION BY q.r ORDER BY score DESC, c.vec_id) AS rank
+  FROM good q JOIN good c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0
+) WHERE rank <= 20"""
+
+
+def _hard_negatives() -> str:
+    return _whole(256, ", CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label") + """, scored AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.r AS br, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM good a JOIN good b ON a.r <> b.r AND len(a.v) = len(b.v) AND a.label IS NOT NULL AND b.label IS NOT NULL WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT ar, anchor_id, br AS pr, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id, br) <= 5
+), ranked AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.ar, pr ORDER BY score DESC, vec_id) AS rank
+  FROM positives p JOIN scored s ON p.ar = s.ar AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3"""
+
+
 def statements() -> dict[str, str]:
     return {"op1_secret_scan": _secret_scan(), "op5_url_filter": _url_filter(), "op7_chat_format": _chat_format(),
             "op8_benchmark_decontamination": _decontamination(),
-            "op10_embedding_near_dedup": _embedding_near_dedup()}
+            "op10_embedding_near_dedup": _embedding_near_dedup(), "op11_spelling_variants": _spelling_variants(),
+            "op12_exact_top_k": _exact_top_k(), "op13_hard_negatives": _hard_negatives()}
