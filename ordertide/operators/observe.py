@@ -35,33 +35,43 @@ def throughput(log: DataFrame) -> DataFrame:
 
 
 def latency_quantile(log: DataFrame, q: float = 0.95) -> DataFrame:
-    """M3: exact interpolated quantile of ``proc_ms`` per minute.
+    """M3: exact interpolated quantile of ``proc_ms`` per minute."""
+    return quantile_by(log, _minute(), "minute", "proc_ms", q)
 
-    No task ever holds a whole minute: equal values are counted first, the counts are
+
+def step_quantile(steps: DataFrame, q: float = 0.95) -> DataFrame:
+    """M3: exact interpolated quantile of the time of each step of the work."""
+    return quantile_by(steps, F.col("step"), "step", "ms", q)
+
+
+def quantile_by(rows: DataFrame, group: Column, name: str, value: str, q: float) -> DataFrame:
+    """Exact interpolated quantile of ``value`` per ``group``, which becomes the column ``name``.
+
+    No task ever holds a whole group: equal values are counted first, the counts are
     summed into value buckets, and only the buckets holding the two wanted ranks are
-    opened. A minute with a third of all rows is spread by value like any other.
+    opened. A group with a third of all rows is spread by value like any other.
     """
     values = (
-        log.filter(F.col("proc_ms").isNotNull())
-        .groupBy(_minute().alias("minute"), F.col("proc_ms").alias("v"))
+        rows.filter(F.col(value).isNotNull())
+        .groupBy(group.alias(name), F.col(value).alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bucket", _bucket(F.col("v")))
     )
-    by_bucket = Window.partitionBy("minute").orderBy("bucket")
+    by_bucket = Window.partitionBy(name).orderBy("bucket")
     buckets = (
-        values.groupBy("minute", "bucket").agg(F.sum("n").alias("n"))
+        values.groupBy(name, "bucket").agg(F.sum("n").alias("n"))
         .withColumn("upto", F.sum("n").over(by_bucket.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("total", F.sum("n").over(Window.partitionBy("minute")))
+        .withColumn("total", F.sum("n").over(Window.partitionBy(name)))
         .withColumn("rank", (F.col("total") - 1) * F.lit(q))
         .withColumn("before", F.col("upto") - F.col("n"))
     )
     lo, hi = F.floor("rank"), F.ceil("rank")
     wanted = buckets.filter(
         ((F.col("before") <= lo) & (lo < F.col("upto"))) | ((F.col("before") <= hi) & (hi < F.col("upto")))
-    ).select("minute", "bucket", "before", "rank", "total")
-    by_value = Window.partitionBy("minute", "bucket").orderBy("v")
+    ).select(name, "bucket", "before", "rank", "total")
+    by_value = Window.partitionBy(name, "bucket").orderBy("v")
     opened = (
-        values.join(wanted, ["minute", "bucket"])
+        values.join(wanted, [name, "bucket"])
         .withColumn(
             "upto",
             F.col("before") + F.sum("n").over(by_value.rowsBetween(Window.unboundedPreceding, 0)),
@@ -72,12 +82,12 @@ def latency_quantile(log: DataFrame, q: float = 0.95) -> DataFrame:
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("from") <= rank) & (rank < F.col("upto")), F.col("v")))
 
-    ends = opened.groupBy("minute").agg(
+    ends = opened.groupBy(name).agg(
         F.max("total").alias("samples"), F.max("rank").alias("rank"), at(lo).alias("v_lo"), at(hi).alias("v_hi")
     )
     share = F.col("rank") - F.floor("rank")
     return ends.select(
-        "minute", "samples", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * share).alias("quantile")
+        name, "samples", (F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * share).alias("quantile")
     )
 
 

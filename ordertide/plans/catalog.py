@@ -11,7 +11,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ordertide import schemas as S
 from ordertide.functions.text import order_id
@@ -21,10 +20,11 @@ from ordertide.operators.wire import to_wire
 from ordertide.plans import staged
 from ordertide.plans import views as V
 from ordertide.session import configure, work_dir
-from ordertide.sinks.tables import fan_out, read_batches, write_batch
+from ordertide.sinks.tables import fan_out, read_batches, read_latest, write_batch
 from ordertide.sources.decode import accepted, decode_mid, decode_raw
 from ordertide.sources.dimension import DimProvider
 from ordertide.sources.synth import synthetic_events as generate
+from ordertide.streaming.aggregate import aggregate_writer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,11 +56,10 @@ def _agg(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stored_agg(spark: SparkSession, sf: str) -> DataFrame:
-    """The one-minute table as it is kept: a folder per Shanghai day."""
+    """The one-minute table as the aggregate job's writer keeps it."""
     path = work_dir(spark, "agg-by-day")
-    _agg(spark, sf).withColumn("stat_date", F.to_date("window_start")).write.partitionBy("stat_date").parquet(path)
-    schema = T.StructType([*S.AGG_1MIN.fields[:-1], T.StructField("stat_date", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    aggregate_writer(path)(_agg(spark, sf), 0)
+    return read_latest(spark, path, S.AGG_BY_DAY)
 
 
 # --- sources ---------------------------------------------------------------
@@ -159,10 +158,10 @@ def rejects_by_reason(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reject_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """K9: long broken messages are kept whole."""
+    """Long broken messages are kept whole, with their start for reading."""
     long = decode_raw(V.long_messages(V.src_events(spark, sf)), F.col("arrival_ts"))
     return upsert.rejects(long).select(
-        "offset", "reject_reason", F.col("value_length").cast("long").alias("value_length"), F.sha2("value", 256).alias("value_sha256")
+        "offset", "reject_reason", "value_head", F.col("value_length").cast("long").alias("value_length"), F.sha2("value", 256).alias("value_sha256")
     )
 
 
@@ -247,7 +246,7 @@ def agg_by_level_region(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def latest_agg_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return A.latest_rows(_stored_agg(spark, sf), 10).drop("stat_date")
+    return A.latest_rows(_stored_agg(spark, sf), 10).drop("stat_date", "update_time")
 
 
 # --- observability and checks ----------------------------------------------
@@ -261,6 +260,12 @@ def latency_p95(spark: SparkSession, sf: str) -> DataFrame:
     return quantiles.select("minute", "samples", F.round("quantile", 6).alias("p95_ms"))
 
 
+def step_p95(spark: SparkSession, sf: str) -> DataFrame:
+    """M3: the log's outcomes stand for steps of the work."""
+    steps = V.ingest_log(spark, sf).select(F.col("outcome").alias("step"), F.col("proc_ms").alias("ms"))
+    return observe.step_quantile(steps, 0.95).select("step", "samples", F.round("quantile", 6).alias("p95_ms"))
+
+
 def failure_ratio_5m(spark: SparkSession, sf: str) -> DataFrame:
     ratios = observe.failure_ratio(V.ingest_log(spark, sf))
     return ratios.withColumn("ratio", F.round("ratio", 9))
@@ -281,6 +286,21 @@ def reconcile_detail_vs_agg(spark: SparkSession, sf: str) -> DataFrame:
     return checks.reconcile(A.agg_windowed(events), stored)
 
 
+def reconcile_digests(spark: SparkSession, sf: str) -> DataFrame:
+    """V4: the same two sides as above, compared row by row only where a minute's digests differ."""
+    events = V.src_events(spark, sf)
+    stored = A.agg_windowed(events.filter(F.col("amount") > -100))
+    return checks.reconcile_by_digest(A.agg_windowed(events), stored)
+
+
+def order_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Over a mid topic in many files, in stretches of few offsets."""
+    path = work_dir(spark, "mid-topic")
+    V.mid_positions(V.src_events(spark, sf)).repartition(8, "offset").write.parquet(path)
+    topic = spark.read.parquet(path)
+    return checks.order_violations(decode_mid(topic, keep=("key", "partition", "offset")), stretch=500)
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -294,6 +314,8 @@ QUERIES: dict[str, Query] = {
         ingest_throughput, latency_p95, failure_ratio_5m, sustained_threshold, outcome_balance,
         reconcile_detail_vs_agg,
         staged.stream_agg_1min, staged.restart_agg_no_dup, staged.stream_agg_mid_twice, staged.stream_dedup, staged.restart_no_dup, staged.replay_no_growth,
+        staged.restart_mid_follow, staged.stream_order_facts, staged.stream_dedup_late_partition, staged.stream_daily,
+        step_p95, order_violations, reconcile_digests,
     )
 }
 

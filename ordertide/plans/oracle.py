@@ -7,8 +7,8 @@ SQL states what the message's row must lead to.
 from __future__ import annotations
 
 from ordertide.plans.views import (
-    DIM_CUSTOMER_SQL, DUP_EVENTS_SQL, EXPECTED_SQL, INGEST_LOG_SQL, MID_FAULTS_SQL,
-    ORDER_WRITES_SQL, SRC_EVENTS_SQL,
+    DIM_CUSTOMER_SQL, DUP_EVENTS_SQL, EXPECTED_SQL, INGEST_LOG_SQL, MID_FAULTS_SQL, MID_POSITIONS_SQL,
+    ORDER_WRITES_SQL, SENT_AGAIN_SQL, SRC_EVENTS_SQL,
 )
 
 _MINUTE = "date_trunc('minute', event_time) + INTERVAL 8 HOUR"
@@ -133,7 +133,7 @@ SELECT reject_reason, count(*) AS row_cnt, CAST(sum("offset") AS BIGINT) AS offs
 FROM expected WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
 
         "reject_texts": _with(EXPECTED_SQL) + """
-SELECT "offset", 'malformed' AS reject_reason, CAST(length(t) AS BIGINT) AS value_length, sha256(t) AS value_sha256
+SELECT "offset", 'malformed' AS reject_reason, left(t, 256) AS value_head, CAST(length(t) AS BIGINT) AS value_length, sha256(t) AS value_sha256
 FROM (SELECT "offset", '{bad' || repeat('x', CAST(300 + "offset" % 100 AS INTEGER)) AS t FROM src_events WHERE k = 0)""",
 
         "mid_balance": _with(MID_FAULTS_SQL) + """,
@@ -258,6 +258,18 @@ SELECT window_start, biz_type, customer_id,
        CAST(coalesce(agg.amount_sum, 0) AS DOUBLE) AS expected_sum,
        CAST(coalesce(stored.amount_sum, 0) AS DOUBLE) AS actual_sum
 FROM agg FULL JOIN stored USING (window_start, biz_type, customer_id)
+WHERE coalesce(agg.order_cnt, 0) <> coalesce(stored.order_cnt, 0)
+   OR coalesce(agg.amount_sum, 0) <> coalesce(stored.amount_sum, 0)""",
+
+        "reconcile_digests": _with(SRC_EVENTS_SQL, _AGG) + f""",
+stored AS (
+  SELECT {_MINUTE} AS window_start, biz_type, customer_id, count(*) AS order_cnt, sum(amount) AS amount_sum
+  FROM src_events WHERE amount > -100 GROUP BY ALL)
+SELECT window_start, biz_type, customer_id,
+       coalesce(agg.order_cnt, 0) AS expected_cnt, coalesce(stored.order_cnt, 0) AS actual_cnt,
+       CAST(coalesce(agg.amount_sum, 0) AS DOUBLE) AS expected_sum,
+       CAST(coalesce(stored.amount_sum, 0) AS DOUBLE) AS actual_sum
+FROM agg FULL JOIN stored USING (window_start, biz_type, customer_id)
 WHERE coalesce(agg.order_cnt, 0) <> coalesce(stored.order_cnt, 0)
    OR coalesce(agg.amount_sum, 0) <> coalesce(stored.amount_sum, 0)""",
 
@@ -276,6 +288,40 @@ SELECT biz_type, count(DISTINCT event_id) AS kept_cnt FROM dup_events GROUP BY b
         "restart_no_dup": _CLAIMS + """
 SELECT event_id, biz_type, biz_key, customer_id, CAST(amount AS DOUBLE) AS amount FROM claims""",
 
+        "restart_mid_follow": _with(SRC_EVENTS_SQL, _AGG) + """
+SELECT window_start, biz_type, customer_id, order_cnt, CAST(amount_sum AS DOUBLE) AS amount_sum FROM agg""",
+
+        "stream_order_facts": _CLAIMS + """
+SELECT order_id, customer_id, biz_type, CAST(coalesce(amount, 0) AS DOUBLE) AS amount, 'NEW' AS status,
+       event_time + INTERVAL 8 HOUR AS created_at
+FROM claims QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY arrival_ts, "partition", "offset") = 1""",
+
+        "stream_dedup_late_partition": "WITH RECURSIVE " + SENT_AGAIN_SQL + """,
+chain AS (
+  SELECT event_id, min(arrival_ts) AS claimed_at FROM sent_again GROUP BY event_id
+  UNION ALL
+  SELECT s.event_id, min(arrival_ts) FROM chain JOIN sent_again s
+    ON s.event_id = chain.event_id AND arrival_ts > claimed_at + INTERVAL 7 DAY
+  GROUP BY s.event_id)
+SELECT biz_type, "partition", count(*) AS kept_cnt, CAST(sum("offset") AS BIGINT) AS offset_sum
+FROM sent_again s JOIN chain ON s.event_id = chain.event_id AND arrival_ts = claimed_at
+GROUP BY biz_type, "partition\"""",
+
+        "stream_daily": _with(SRC_EVENTS_SQL, _AGG) + """
+SELECT strftime(window_start, '%Y-%m-%d') AS stat_date, biz_type,
+       CAST(sum(order_cnt) AS BIGINT) AS order_cnt, CAST(sum(amount_sum) AS DOUBLE) AS amount_sum
+FROM agg GROUP BY 1, 2""",
+
+        "step_p95": _with(INGEST_LOG_SQL) + """
+SELECT outcome AS step, count(*) AS samples, round(quantile_cont(proc_ms, 0.95), 6) AS p95_ms FROM ingest_log GROUP BY 1""",
+
+        "order_violations": _with(MID_POSITIONS_SQL) + """
+SELECT * FROM (
+  SELECT key, "partition", "offset", event_time,
+         lag("offset") OVER w AS after_offset, lag(event_time) OVER w AS after_event_time
+  FROM mid_positions WINDOW w AS (PARTITION BY key, "partition" ORDER BY "offset"))
+WHERE event_time < after_event_time""",
+
         "replay_no_growth": _CLAIMS + """,
 sizes AS (
   SELECT 'ledger' AS table_name, count(*) AS n FROM claims

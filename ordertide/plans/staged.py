@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertide import schemas as S
-from ordertide.operators.aggregate import table_counts
+from ordertide.operators.aggregate import agg_windowed, complete_events, table_counts
 from ordertide.operators.checks import growth
 from ordertide.operators.dedup import dedup_stream
 from ordertide.operators.wire import to_wire
@@ -16,9 +16,11 @@ from ordertide.plans import views as V
 from ordertide.session import work_dir
 from ordertide.sinks.tables import ensure_dir, read_batches, read_latest, stream_batches, write_batch
 from ordertide.sources.decode import decode_mid
+from ordertide.sources.batches import follow_batches
 from ordertide.sources.topic import read_message_files
 from ordertide.streaming.aggregate import MID_TOPIC, aggregate_stream, aggregate_writer, decoded_time, single_deliveries
-from ordertide.streaming.ingest import IngestTables, ingest_stream, ingest_writer
+from ordertide.streaming.claims import claims_writer
+from ordertide.streaming.ingest import IngestTables, first_orders, ingest_stream, ingest_writer, orders_writer
 from ordertide.streaming.runner import catch_up
 
 # An event this late closes every real minute; it is filtered out of the result.
@@ -109,6 +111,81 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("biz_type").agg(F.count(F.lit(1)).alias("kept_cnt"))
 
 
+def restart_mid_follow(spark: SparkSession, sf: str) -> DataFrame:
+    """The mid table's writer breaks off inside each write, after its draft, its entry or its move; the aggregate
+    query reads the table before the writer is back and after."""
+    root = work_dir(spark, "mid-follow")
+    source, mid, result = ensure_dir(spark, f"{root}/messages"), f"{root}/mid", f"{root}/agg"
+    follow = lambda: catch_up(
+        aggregate_stream(follow_batches(spark, mid, S.WIRE, "agg")), aggregate_writer(result), f"{root}/check-agg"
+    )
+    for n, messages in enumerate(_mid_stages(spark, sf)):
+        _stage(messages, source)
+        crash = _FailOnce(("draft", "entry", "move")[n % 3], None)
+        write = lambda df, k: write_batch(df, mid, k, after=lambda step: crash(step, k))  # noqa: B023, E731
+        publish = lambda: catch_up(read_message_files(spark, source, S.WIRE), write, f"{root}/check-mid")  # noqa: B023, E731
+
+        def again() -> None:
+            if crash.failed:  # noqa: B023
+                follow()
+            publish()  # noqa: B023
+
+        _until_done(again, crash)
+        follow()
+    return _minutes(spark, result)
+
+
+def stream_order_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw messages in stages; the orders query keeps order numbers as state and breaks off once per stage."""
+    root = work_dir(spark, "order-facts")
+    source, tables = ensure_dir(spark, f"{root}/raw"), IngestTables(f"{root}/tables")
+    for chunk in V.chunks_of(spark, sf):
+        _stage(V.raw_messages(chunk), source)
+        catch_up(ingest_stream(read_message_files(spark, source)), ingest_writer(tables, orders_here=False), f"{root}/check-ingest")
+        crash = _FailOnce("orders", None)
+
+        def store() -> None:
+            writes = follow_batches(spark, tables.order_writes, S.ORDER_WRITE, "orders", with_number=True)
+            catch_up(first_orders(writes), orders_writer(tables.orders, after=crash), f"{root}/check-orders", mode="update")  # noqa: B023
+
+        _until_done(store, crash)
+    return read_batches(spark, tables.orders, S.ORDER).select(*[c for c in S.ORDER.names if c != "updated_at"])
+
+
+def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """A2: days kept up to date while minutes come in, the middle stage's last; the job breaks off between the two writes."""
+    root = work_dir(spark, "stream-daily")
+    source, result, daily = ensure_dir(spark, f"{root}/mid"), f"{root}/agg", f"{root}/daily"
+    first, middle, last, _ = _mid_stages(spark, sf)
+    for messages in (first, last, middle):
+        _stage(messages, source)
+        crash = _FailOnce("agg", None)
+        minutes = agg_windowed(complete_events(decode_mid(read_message_files(spark, source, S.WIRE))), delay="400 days")
+        write = aggregate_writer(result, after=crash, daily=daily)
+        _until_done(lambda: catch_up(minutes, write, f"{root}/check", mode="update"), crash)  # noqa: B023
+    return read_latest(spark, daily, S.AGG_DAILY, S.DAILY_KEY).drop("update_time")
+
+
+def stream_dedup_late_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """Two partitions in stages of time, then all of the third, whose oldest messages are by then weeks behind."""
+    root = work_dir(spark, "late-partition")
+    source, result, checkpoint = ensure_dir(spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint"
+    columns = ("event_id", "biz_type", "partition", "offset", "arrival_ts")
+    sent = lambda events: V.sent_again_of(events).select(*columns)
+    chunks = V.chunks_of(spark, sf, sent)
+    late = F.col("partition") == 2
+    whole = chunks[0]
+    for chunk in chunks[1:]:
+        whole = whole.unionAll(chunk)
+    for stage in [*(chunk.filter(~late) for chunk in chunks), whole.filter(late)]:
+        _stage(stage, source)
+        crash = _FailOnce("claims", None)
+        write = claims_writer(result, stage.schema, after=crash)
+        _until_done(lambda: catch_up(read_message_files(spark, source, stage.schema), write, checkpoint), crash)  # noqa: B023
+    rows = read_batches(spark, result, stage.schema)
+    return rows.groupBy("biz_type", "partition").agg(F.count(F.lit(1)).alias("kept_cnt"), F.sum("offset").alias("offset_sum"))
+
+
 class _FailOnce:
     """Breaks off a batch after a given step, the first time only; no number means whichever comes."""
 

@@ -273,6 +273,37 @@ def dup_events_of(events: DataFrame) -> DataFrame:
     return once.unionAll(again)
 
 
+# Besides, each purchase is sent again eight days on, when its first claim no longer counts.
+SENT_AGAIN_SQL = DUP_EVENTS_SQL + """,
+sent_again AS (
+  SELECT event_id, biz_type, "partition", "offset", arrival_ts FROM dup_events
+  UNION ALL
+  SELECT event_id, biz_type, "partition", "offset" + 2000000000000, arrival_ts + INTERVAL 8 DAY FROM src_events WHERE biz_type = 'purchase')"""
+
+
+def sent_again_of(events: DataFrame) -> DataFrame:
+    once = dup_events_of(events).select("event_id", "biz_type", "partition", "offset", "arrival_ts")
+    again = once.filter(F.col("biz_type") == "purchase").withColumns({
+        "offset": F.col("offset") + F.lit(2_000_000_000_000), "arrival_ts": F.col("arrival_ts") + F.expr("interval 8 days"),
+    })
+    return once.unionAll(again)
+
+
+# A topic on which all events of a customer are one order's messages, and some are sent a thousand places late.
+MID_POSITIONS_SQL = SRC_EVENTS_SQL + """,
+mid_positions AS (
+  SELECT printf('order-%010d', customer_id) AS key, "partition",
+         2 * "offset" + CASE WHEN k % 7 = 3 THEN 2001 ELSE 0 END AS "offset", date_trunc('millisecond', event_time) AS event_time FROM src_events)"""
+
+
+def mid_positions(events: DataFrame) -> DataFrame:
+    """key, partition, offset and value of that topic's messages."""
+    late = F.when(F.col("k") % 7 == 3, F.lit(2001)).otherwise(F.lit(0))
+    own = events.withColumns({"biz_key": padded_id("order-", F.col("customer_id")), "offset": 2 * F.col("offset") + late})
+    body = F.struct("event_id", "biz_type", "biz_key", "customer_id", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("event_time"))
+    return own.select(F.col("biz_key").alias("key"), "partition", "offset", F.to_json(body).alias("value"))
+
+
 INGEST_LOG_SQL = """ingest_log AS (
   SELECT ts AS arrival_ts, printf('evt-%010d', event_id) AS event_id,
          CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'duplicate'

@@ -62,6 +62,11 @@ ORDER = _struct(
     ("updated_at", T.TimestampNTZType()),
 )
 
+# An order row on its way to the orders query, with what tells which came first.
+ORDER_WRITE = T.StructType([
+    *ORDER.fields, T.StructField("arrival_ts", T.TimestampType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
+])
+
 LEDGER = _struct(
     ("event_id", T.StringType()),
     ("created_at", T.TimestampType()),
@@ -83,6 +88,9 @@ AGG_1MIN = _struct(
     ("update_time", T.TimestampType()),
 )
 
+# The one-minute table as stored: a folder per Shanghai day within each batch.
+AGG_BY_DAY = T.StructType([*AGG_1MIN.fields, T.StructField("stat_date", T.DateType())])
+
 AGG_DAILY = _struct(
     ("stat_date", T.DateType()),
     ("biz_type", T.StringType()),
@@ -109,6 +117,15 @@ INGEST_LOG = _struct(
     ("proc_ms", T.DoubleType()),
 )
 
+# One step of the work on a batch, or one phase of it as Spark reports it.
+STEP_LOG = _struct(
+    ("query", T.StringType()),
+    ("step", T.StringType()),
+    ("began_at", T.TimestampType()),
+    ("row_cnt", T.LongType()),
+    ("ms", T.DoubleType()),
+)
+
 WIRE = _struct(
     ("key", T.StringType()),
     ("value", T.StringType()),

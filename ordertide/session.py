@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Runs that take what is there go on until minutes are closed, also over sources in Python.
+    "spark.sql.streaming.triggerAvailableNowWrapper.enabled": "true",
     # Upload state changes rather than whole snapshots at each commit.
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }

@@ -13,9 +13,11 @@ from ordertide import schemas as S
 from ordertide.operators.aggregate import agg_windowed, complete_events, incomplete_events, rollup_daily
 from ordertide.operators.dedup import dedup_stream
 from ordertide.operators.enrich import enrich
-from ordertide.sinks.tables import read_latest, upsert_batch, write_batch
+from ordertide.operators.upsert import latest_wins
+from ordertide.sinks.tables import merge_tiers, read_latest, upsert_batch, write_batch
 from ordertide.sources.decode import decode_mid
 from ordertide.sources.dimension import DimProvider
+from ordertide.streaming.ingest import MERGE_EVERY
 from ordertide.streaming.runner import BatchWriter
 
 
@@ -33,16 +35,44 @@ def aggregate_writer(
     path: str,
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
     after: Callable[[str, int], None] = lambda step, batch_id: None,
+    daily: str | None = None,
+    merge_every: int = MERGE_EVERY,
 ) -> BatchWriter:
-    """K4: upsert each micro-batch's finished minutes. ``after`` is called when they are written."""
+    """Upsert each micro-batch's finished minutes into a table with a folder per Shanghai day.
+
+    With ``daily`` the days that the batch's minutes belong to are brought up to date in the same
+    batch. ``after`` is called when a step is done. Both tables are merged by size while the query runs.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert_batch(batch, batch_id, path, clock())
-        after("agg", batch_id)
+        spark, now = batch.sparkSession, clock()
+        newest = lambda key: lambda rows: latest_wins(rows, key)
+        merge_tiers(spark, path, batch_id, S.AGG_BY_DAY, merge_every, ("stat_date",), newest((*S.AGG_KEY, "stat_date")))
+        minutes = batch.withColumn("stat_date", F.to_date("window_start")).persist()
+        try:
+            upsert_batch(minutes, batch_id, path, now, partition_by=("stat_date",))
+            after("agg", batch_id)
+            if daily:
+                merge_tiers(spark, daily, batch_id, S.AGG_DAILY, merge_every, (), newest(S.DAILY_KEY))
+                upsert_batch(touched_days(spark, minutes, path), batch_id, daily, now)
+                after("daily", batch_id)
+        finally:
+            minutes.unpersist()
 
     return write
 
 
+def touched_days(spark: SparkSession, minutes: DataFrame, path: str) -> DataFrame:
+    """A2: the daily rows of the days that ``minutes`` belong to, from the stored one-minute table.
+
+    Only days reach the driver; they pick the folders that are read. Days are summed whole, so a late or a
+    repeated minute counts once.
+    """
+    days = [r["stat_date"] for r in minutes.select("stat_date").distinct().collect()]
+    stored = read_latest(spark, path, S.AGG_BY_DAY)
+    return rollup_daily(stored.filter(F.col("stat_date").isin(*days) if days else F.lit(False)))
+
+
 def refresh_daily(
     spark: SparkSession,
     agg_path: str,

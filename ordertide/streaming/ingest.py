@@ -13,19 +13,21 @@ from pyspark.sql import types as T
 from ordertide import schemas as S
 from ordertide.functions.clock import as_instant
 from ordertide.operators.dedup import (
-    ARRIVAL_ORDER, CLAIM_ORDER, LEDGER_HORIZON, anti_existing_narrow, expire, first_per_key, near_claims, span_of,
-    unblocked,
+    ARRIVAL_ORDER, CLAIM_ORDER, LEDGER_HORIZON, anti_existing_narrow, first_per_key, near_claims, span_of, unblocked,
 )
 from ordertide.operators.facts import to_order_row
 from ordertide.operators.upsert import rejects
 from ordertide.operators.wire import to_wire
-from ordertide.sinks.tables import finish_merge, is_committed, merge_batches, read_batches, write_batch
+from ordertide.sinks.tables import (
+    batch_note, drop_days, forget_followed, merge_tiers, read_batches, write_batch,
+)
 from ordertide.sources.decode import accepted, decode_raw
 from ordertide.streaming.runner import BatchWriter
+from ordertide.streaming.steps import ProgressLog, StepClock
 
 
-# Batches between two merges of a table's small batches.
-MERGE_EVERY = 200
+# Neighbouring folders of one size that are put together.
+MERGE_EVERY = 16
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,14 @@ class IngestTables:
     def orders(self) -> str:
         return f"{self.root}/orders"
 
+    @property
+    def order_writes(self) -> str:
+        return f"{self.root}/order-writes"
+
+    @property
+    def steps(self) -> str:
+        return f"{self.root}/steps"
+
     @property
     def mid(self) -> str:
         return f"{self.root}/mid"
@@ -55,14 +65,19 @@ class IngestTables:
         return f"{self.root}/log"
 
     def all(self) -> tuple[str, ...]:
-        return self.ledger, self.orders, self.mid, self.rejects, self.log
+        return self.ledger, self.orders, self.order_writes, self.mid, self.rejects, self.log, self.steps
 
-    def merged(self) -> dict[str, tuple[T.StructType, tuple[str, ...]]]:
-        """Tables no stream follows, whose small batches may be put together: schema and partitioning."""
-        return {
-            self.ledger: (S.LEDGER_BY_DAY, ("day",)), self.orders: (S.ORDER, ()), self.rejects: (S.REJECT, ()),
-            self.log: (S.INGEST_LOG, ()),
+    def merged(self, orders_here: bool = True) -> dict[str, tuple[T.StructType, tuple[str, ...]]]:
+        """Tables of the ingest query that no stream follows, whose small batches may be put together: schema and partitioning."""
+        own = {
+            self.ledger: (S.LEDGER_BY_DAY, ("day",)), self.rejects: (S.REJECT, ()), self.log: (S.INGEST_LOG, ()),
+            self.steps: (S.STEP_LOG, ()),
         }
+        return own | {self.orders: (S.ORDER, ())} if orders_here else own
+
+    def followed(self) -> tuple[str, ...]:
+        """Tables that other queries follow and that are forgotten behind them."""
+        return self.mid, self.order_writes
 
 
 def ingest_stream(messages: DataFrame) -> DataFrame:
@@ -121,18 +136,13 @@ def outcomes(decoded: DataFrame, claims: DataFrame, now: datetime, done: datetim
     )
 
 
-def merge_history(spark: SparkSession, tables: IngestTables, upto: int, now: datetime, horizon: str = LEDGER_HORIZON) -> None:
-    """Put the batches up to ``upto`` of each table together. Claims older than the horizon go, counted from
-    the newest claim at the latest, so a backlog still finds those that block it."""
-    for path, (schema, partition_by) in tables.merged().items():
-        if not is_committed(spark, path, upto):
-            continue
-        rows = read_batches(spark, path, schema, before=upto + 1).select(*schema.names)
-        if path == tables.ledger:
-            newest = rows.agg(F.max("created_at")).first()[0]
-            if newest is not None:
-                rows = expire(rows, min(now, newest.astimezone(timezone.utc)), horizon)
-        merge_batches(spark, path, upto, rows, partition_by)
+def expire_ledger(spark: SparkSession, path: str, now: datetime, horizon: str = LEDGER_HORIZON) -> list[str]:
+    """K8: delete the ledger's day folders that lie wholly before the horizon, counted from the newest claim at the
+    latest, so a backlog still finds those that block it."""
+    newest = read_batches(spark, path, S.LEDGER_BY_DAY).agg(F.max("day")).first()[0]
+    if newest is None:
+        return []
+    return drop_days(spark, path, min(now.date(), newest) - span_of(horizon))
 
 
 def ingest_writer(
@@ -142,47 +152,103 @@ def ingest_writer(
     clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
     after: Callable[[str, int], None] = lambda step, batch_id: None,
     merge_every: int = MERGE_EVERY,
+    orders_here: bool = True,
+    progress: ProgressLog | None = None,
 ) -> BatchWriter:
     """The ``foreachBatch`` function of query 1, for batches of :func:`ingest_stream`.
 
     Every write is a function of the batch's input and of earlier batches, so a batch that
     broke off anywhere is simply run again: committed folders stay, missing ones are
     added, and no event is lost or repeated. ``publish`` replaces the mid table, for example by
-    a topic. ``after`` is called when a step is done. Every ``merge_every`` batches the earlier
-    batches of the tables no stream follows become one, and expired claims go.
+    a topic. ``after`` is called when a step is done. Small batches of the tables no stream follows
+    are merged by size, expired claims go by the day, and batches that all followers have
+    read are forgotten.
+
+    ``orders_here`` looks new order numbers up in all stored orders. Without it the batch's first write of
+    each order is handed on to the orders query, which keeps the numbers it has seen as state
+    (:func:`orders_writer`), so a batch takes as long whatever has been stored.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark, now = batch.sparkSession, clock()
         publish_mid = publish or (lambda df, n: write_batch(df, tables.mid, n))
+        steps = StepClock("ingest")
         decoded = batch.persist()
-        for path in tables.merged():
-            finish_merge(spark, path)
-        if batch_id and batch_id % merge_every == 0:
-            merge_history(spark, tables, batch_id - 1, now, horizon)
-        earlier_claims = read_batches(spark, tables.ledger, S.LEDGER_BY_DAY, before=batch_id)
-        claims = unclaimed(accepted(decoded), earlier_claims, horizon).persist()
-        orders = first_per_key(
-            to_order_row(claims, now, keep=ARRIVAL_ORDER), "order_id", ARRIVAL_ORDER
-        ).persist()
+        with steps.step("merge"):
+            for path, (schema, partition_by) in tables.merged(orders_here).items():
+                merge_tiers(spark, path, batch_id, schema, merge_every, partition_by)
+            if batch_id and batch_id % merge_every == 0:
+                expire_ledger(spark, tables.ledger, now, horizon)
+                for path in tables.followed():
+                    forget_followed(spark, path)
+        with steps.step("claim"):
+            earlier_claims = read_batches(spark, tables.ledger, S.LEDGER_BY_DAY, before=batch_id)
+            claims = unclaimed(accepted(decoded), earlier_claims, horizon).persist()
+        orders = first_per_key(to_order_row(claims, now, keep=CLAIM_ORDER), "order_id", CLAIM_ORDER).persist()
         try:
             ledger_rows = claims.select(
                 "event_id", F.col("arrival_ts").alias("created_at"), F.to_date("arrival_ts").alias("day")
             )
-            write_batch(ledger_rows, tables.ledger, batch_id, partition_by=("day",))
+            with steps.step("ledger", ledger_rows) as rows:
+                write_batch(rows, tables.ledger, batch_id, partition_by=("day",))
             after("ledger", batch_id)
-            stored = read_batches(spark, tables.orders, S.ORDER, before=batch_id)
-            write_batch(
-                anti_existing_narrow(orders, stored, "order_id").select(*S.ORDER.names), tables.orders, batch_id
-            )
+            if orders_here:
+                stored = read_batches(spark, tables.orders, S.ORDER, before=batch_id)
+                new_orders, place = anti_existing_narrow(orders, stored, "order_id").select(*S.ORDER.names), tables.orders
+            else:
+                new_orders, place = orders.select(*S.ORDER_WRITE.names), tables.order_writes
+            with steps.step("orders", new_orders) as rows:
+                write_batch(rows, place, batch_id)
             after("orders", batch_id)
-            publish_mid(to_wire(claims, F.col("arrival_ts")), batch_id)
+            with steps.step("mid"):
+                publish_mid(to_wire(claims, F.col("arrival_ts")), batch_id)
             after("mid", batch_id)
-            write_batch(rejects(decoded), tables.rejects, batch_id)
-            write_batch(outcomes(decoded, claims, now, clock()), tables.log, batch_id)
+            with steps.step("rejects", rejects(decoded)) as rows:
+                write_batch(rows, tables.rejects, batch_id)
+            with steps.step("log", outcomes(decoded, claims, now, clock())) as rows:
+                write_batch(rows, tables.log, batch_id)
+            write_batch(steps.rows(spark, progress), tables.steps, batch_id)
             after("log", batch_id)
         finally:
             for held in (orders, claims, decoded):
                 held.unpersist()
 
     return write
+
+
+def first_orders(writes: DataFrame) -> DataFrame:
+    """For every order written to in a trigger, its first write of all time and the last batch that wrote to it.
+
+    ``writes`` follows the handed-on order rows with their batch's number. The first write is the
+    one of the earliest batch, then arrival; it is kept as keyed state and never changes, since later
+    writes have larger batch numbers.
+    """
+    rest = [c for c in S.ORDER.names if c != "order_id"]
+    first = F.min(F.struct("batch_id", *CLAIM_ORDER, *rest))
+    return writes.groupBy("order_id").agg(first.alias("first"), F.max("batch_id").alias("last_batch"))
+
+
+def orders_writer(
+    path: str, after: Callable[[str, int], None] = lambda step, batch_id: None, merge_every: int = MERGE_EVERY
+) -> BatchWriter:
+    """The ``foreachBatch`` function of the orders query (update mode): appends each order once.
+
+    An order is new if its first write came after the batches that earlier triggers have read; how
+    far those went is in their entries. No stored order is read.
+    """
+
+    def write(batch: DataFrame, trigger: int) -> None:
+        spark = batch.sparkSession
+        merge_tiers(spark, path, trigger, S.ORDER, merge_every)
+        since = int(batch_note(spark, path, trigger - 1) or -1) if trigger else -1
+        touched = batch.persist()
+        try:
+            upto = touched.agg(F.max("last_batch")).first()[0]
+            new = touched.filter(F.col("first.batch_id") > since)
+            rest = [F.col(f"first.{c}").alias(c) for c in S.ORDER.names if c != "order_id"]
+            write_batch(new.select("order_id", *rest), path, trigger, note=str(since if upto is None else upto))
+            after("orders", trigger)
+        finally:
+            touched.unpersist()
+
+    return write

@@ -1,0 +1,235 @@
+"""Following tables by number, keyed order state, days kept up to date, merging by size, step log, order checks."""
+
+import os
+import time
+from datetime import datetime, timedelta, timezone
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from ordertide import schemas as S
+from ordertide.operators import checks, observe
+from ordertide.sinks import tables as tab
+from ordertide.sources.batches import Follower, follow_batches
+from ordertide.streaming import jobs
+from ordertide.streaming.aggregate import aggregate_writer
+from ordertide.streaming.claims import claims_writer
+from ordertide.streaming.ingest import first_orders, orders_writer
+from ordertide.streaming.runner import catch_up
+from ordertide.streaming.steps import StepClock
+
+UTC = timezone.utc
+T0 = datetime(2026, 5, 9, 2, 0, 0, tzinfo=UTC)
+ONE = Decimal("1.0000")
+
+
+class Stop(Exception):
+    pass
+
+
+def stop_at(step):
+    def after(done):
+        if done == step:
+            raise Stop
+
+    return after
+
+
+def claims(spark, n, rows=2):
+    return spark.createDataFrame([(f"e{n}-{k}", T0) for k in range(rows)], S.LEDGER)
+
+
+@pytest.mark.parametrize("step, offered", [("draft", -1), ("entry", -1), ("move", 0)])
+def test_writer_broken_off_at_any_step_is_finished_and_files_keep_their_names(spark, tmp_path, step, offered):
+    path = str(tmp_path / "t")
+    with pytest.raises(Stop):
+        tab.write_batch(claims(spark, 0), path, 0, after=stop_at(step))
+    reader = Follower({"path": path}, S.LEDGER)
+    assert reader.latestOffset() == {"batch_id": offered}
+    assert tab.read_batches(spark, path, S.LEDGER).count() == (2 if step == "move" else 0)
+    drafted = sorted(n for n in tab._files_below(spark, path) if n.endswith(".parquet"))
+    tab.write_batch(claims(spark, 0), path, 0)
+    assert tab.read_batches(spark, path, S.LEDGER).count() == 2
+    names = {n.rpartition("/")[2] for n in tab._files_below(spark, path) if n.endswith(".parquet") and "batch_id" in n}
+    assert step == "draft" or names == {n.rpartition("/")[2] for n in drafted}
+    assert not tab.path_exists(spark, tab.draft_path(path, 0))
+
+
+def test_move_that_took_some_files_along_is_finished(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(Stop):
+        tab.write_batch(claims(spark, 0, 40).repartition(4), path, 0, ("event_id",), after=stop_at("entry"))
+    one = next(n for n in tab._files_below(spark, tab.draft_path(path, 0)) if n.endswith(".parquet"))
+    os.makedirs(os.path.dirname(f"{tab.batch_path(path, 0)}/{one}"))
+    os.rename(f"{tab.draft_path(path, 0)}/{one}", f"{tab.batch_path(path, 0)}/{one}")
+    assert tab.read_batches(spark, path, S.LEDGER).count() == 0
+    tab.write_batch(claims(spark, 0, 40), path, 0)
+    assert tab.read_batches(spark, path, S.LEDGER).count() == 40
+
+
+def test_follower_takes_batches_by_number_and_they_are_forgotten_behind_it(spark, tmp_path):
+    path, out, check = (str(tmp_path / n) for n in ("t", "out", "check"))
+    follow = lambda who="me": catch_up(
+        follow_batches(spark, path, S.LEDGER, who, with_number=True).withColumnRenamed("batch_id", "source"),
+        lambda df, n: tab.write_batch(df, out, n), check if who == "me" else f"{check}-{who}",
+    )
+    for n in range(3):
+        tab.write_batch(claims(spark, n), path, n)
+    follow()
+    tab.write_batch(claims(spark, 3), path, 3)
+    follow()
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.event_id, r.source) for r in rows) == [(f"e{n}-{k}", n) for n in range(4) for k in range(2)]
+    assert all(r.created_at == datetime(2026, 5, 9, 2) for r in rows)
+    tab.note_followed(spark, path, "slow", 0)
+    assert tab.forget_followed(spark, path) == 1 and tab.committed_batches(spark, path) == {1, 2, 3}
+    tab.note_followed(spark, path, "slow", 3)
+    tab.note_followed(spark, path, "me", 3)
+    assert tab.forget_followed(spark, path, keep=1) == 3 and tab.committed_batches(spark, path) == {3}
+    assert Follower({"path": path}, S.LEDGER).initialOffset() == {"batch_id": 2}
+    with pytest.raises(ValueError, match="no longer kept"):
+        Follower({"path": path}, S.LEDGER).partitions({"batch_id": 0}, {"batch_id": 3})
+
+
+def test_follower_takes_no_more_than_it_may(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(5):
+        tab.write_batch(claims(spark, n), path, n)
+    reader = Follower({"path": path, "maxbatches": "2", "follower": "me"}, S.LEDGER)
+    assert reader.initialOffset() == {"batch_id": -1} and reader.latestOffset() == {"batch_id": 1}
+    assert {f.batch_id for f in reader.partitions({"batch_id": -1}, {"batch_id": 1})} == {0, 1}
+    assert reader.latestOffset() == {"batch_id": 3}
+    reader.commit({"batch_id": 3})
+    again = Follower({"path": path, "maxbatches": "2", "follower": "me"}, S.LEDGER)
+    assert again.latestOffset() == {"batch_id": 4}
+
+
+ORDER_WRITES = S.ORDER_WRITE
+
+
+def order(n, offset, amount=ONE, partition=0, at=T0):
+    wall = datetime(2026, 5, 9, 10)
+    return (n, 1, "ORDER", amount, "NEW", wall, wall, at, partition, offset)
+
+
+def test_orders_are_stored_once_by_their_first_write_without_reading_stored_orders(spark, tmp_path):
+    path, out, check = (str(tmp_path / n) for n in ("writes", "orders", "check"))
+    broken = []
+
+    def crash(step, n):
+        if n not in broken:
+            broken.append(n)
+            raise Stop
+
+    def store():
+        writes = follow_batches(spark, path, ORDER_WRITES, "orders", with_number=True)
+        catch_up(first_orders(writes), orders_writer(out, after=crash, merge_every=2), check, mode="update")
+
+    two = Decimal("2.0000")
+    batches = [[order(1, 1), order(2, 2)], [order(1, 9, two), order(3, 3)], [order(3, 4, two), order(4, 5), order(2, 6, two)], [order(1, 7, two)]]
+    for n, rows in enumerate(batches):
+        tab.write_batch(spark.createDataFrame(rows, ORDER_WRITES), path, n)
+        if n != 1:  # the second trigger takes two batches
+            with pytest.raises(StreamingQueryException):
+                store()
+            store()
+    rows = tab.read_batches(spark, out, S.ORDER).collect()
+    assert sorted((r.order_id, r.amount) for r in rows) == [(k, ONE) for k in (1, 2, 3, 4)]
+    assert tab.batch_note(spark, out, max(tab.committed_batches(spark, out))) == "3"
+
+
+def minutes(spark, *rows):
+    schema = "window_start timestamp_ntz, biz_type string, customer_id long, order_cnt long, amount_sum decimal(18,4)"
+    return spark.createDataFrame([(w, "ORDER", c, n, ONE * n) for w, c, n in rows], schema)
+
+
+def test_days_follow_late_and_repeated_minutes_and_tables_are_merged_by_size(spark, tmp_path):
+    agg, daily = str(tmp_path / "agg"), str(tmp_path / "daily")
+    write = aggregate_writer(agg, daily=daily, merge_every=2)
+    day = lambda d, m=0: datetime(2026, 5, d, 10, m)
+    sent = [[(day(1), 1, 1)], [(day(2), 1, 1)], [(day(1, 1), 1, 5)], [(day(1), 1, 3)], [], [(day(3), 2, 1)]]
+    for n, rows in enumerate(sent):
+        write(minutes(spark, *rows), n)
+    state = tab.read_latest(spark, daily, S.AGG_DAILY, S.DAILY_KEY)
+    assert {(str(r.stat_date)[-1], r.order_cnt) for r in state.collect()} == {("1", 8), ("2", 1), ("3", 1)}
+    assert tab.committed_batches(spark, agg) == {3, 4, 5}
+    assert tab.read_batches(spark, agg, S.AGG_1MIN).count() == 4  # the replaced version is gone
+    plan = tab.read_latest(spark, agg, S.AGG_BY_DAY).filter("stat_date = date'2026-05-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "stat_date" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_each_merge_reads_only_what_came_since_the_last_of_its_size(spark, tmp_path):
+    path, merged = str(tmp_path / "t"), []
+    for n in range(10):
+        merged.append(tab.merge_tiers(spark, path, n, S.LEDGER, 3))
+        tab.write_batch(claims(spark, n), path, n)
+    assert [m for m in merged if m] == [(0, 2), (3, 5), (0, 8)]
+    assert tab.committed_batches(spark, path) == {8, 9}
+    assert tab.read_batches(spark, path, S.LEDGER).count() == 20
+
+
+def test_days_of_the_ledger_are_dropped_without_reading(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(3):
+        tab.write_batch(claims(spark, n).withColumn("day", F.date_add(F.lit("2026-05-01").cast("date"), n)), path, n, ("day",))
+    assert tab.drop_days(spark, path, datetime(2026, 5, 2).date()) == ["0/day=2026-05-01"]
+    assert tab.read_batches(spark, path, S.LEDGER_BY_DAY).count() == 4
+
+
+def test_late_partition_is_judged_by_its_own_claims(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = spark.createDataFrame([("a", 0, 1, T0)], "event_id string, partition int, offset long, arrival_ts timestamp").schema
+    write = claims_writer(path, schema, merge_every=2)
+    at = lambda days: T0 + timedelta(days=days)
+    sent = [[("a", 0, 1, at(30)), ("a", 0, 2, at(31))], [("b", 1, 1, at(0)), ("b", 1, 2, at(6)), ("b", 1, 3, at(8))], [("b", 1, 4, at(9)), ("a", 0, 3, at(40))]]
+    for n, rows in enumerate(sent):
+        write(spark.createDataFrame(rows, schema), n)
+    kept = tab.read_batches(spark, path, schema).collect()
+    assert sorted((r.event_id, r.offset) for r in kept) == [("a", 1), ("a", 3), ("b", 1), ("b", 3)]
+
+
+def test_slow_and_fast_steps_differ_in_the_log(spark, tmp_path):
+    for n in range(3):
+        steps = StepClock("test")
+        with steps.step("fast", claims(spark, n)) as rows:
+            tab.write_batch(rows, str(tmp_path / "fast"), n)
+        with steps.step("slow"):
+            time.sleep(1.5 if n else 0.8)
+        tab.write_batch(steps.rows(spark), str(tmp_path / "steps"), n)
+    log = tab.read_batches(spark, str(tmp_path / "steps"), S.STEP_LOG)
+    assert {r.row_cnt for r in log.where("step = 'fast'").collect()} == {2}
+    p95 = {r.step: r.quantile for r in observe.step_quantile(log.where("ms < 60000"), 0.5).collect()}
+    assert p95["slow"] >= 1500 and set(p95) == {"fast", "slow"} and p95["fast"] != p95["slow"]
+
+
+def test_out_of_order_neighbours_are_found_across_stretches(spark):
+    at = lambda s: T0 + timedelta(seconds=s)
+    rows = [("k", 0, 1, at(1)), ("k", 0, 2, at(5)), ("k", 0, 3, None), ("k", 0, 25, at(4)), ("k", 0, 26, at(4)), ("k", 1, 5, at(0)), ("j", 0, 4, at(9)), ("j", 0, 99, at(1))]
+    df = spark.createDataFrame(rows, "key string, partition int, offset long, event_time timestamp")
+    for stretch in (1, 10, 1000):
+        found = {(r.key, r.partition, r.offset, r.after_offset) for r in checks.order_violations(df, stretch=stretch).collect()}
+        assert found == {("k", 0, 25, 2), ("j", 0, 99, 4)}
+    assert checks.order_violations(df.limit(0)).count() == 0
+
+
+def test_digests_name_the_minutes_that_differ(spark):
+    wall = datetime(2026, 5, 9, 10)
+    a = minutes(spark, (wall, 1, 1), (wall, 2, 2), (wall + timedelta(minutes=1), 1, 1))
+    b = minutes(spark, (wall, 2, 2), (wall, 1, 1), (wall + timedelta(minutes=1), 1, 2), (wall + timedelta(minutes=2), 1, 1))
+    assert checks.differing_minutes(a, a).count() == 0
+    assert {r.window_start.minute for r in checks.differing_minutes(a, b).collect()} == {1, 2}
+    assert sorted(map(tuple, checks.reconcile_by_digest(a, b).collect())) == sorted(map(tuple, checks.reconcile(a, b).collect()))
+
+
+def test_published_messages_go_to_the_named_topic(monkeypatch):
+    sent = []
+    monkeypatch.setattr(jobs, "write_topic", lambda df, cfg: sent.append((df, cfg.write_options())))
+    args = jobs.arguments("ingest").parse_args(["--root", "r", "--bootstrap", "b:1", "--topic", "raw", "--publish", "mid"])
+    jobs.publisher(args)("rows", 3)
+    [(rows, options)] = sent
+    assert rows == "rows" and options["topic"] == "mid" and options["kafka.bootstrap.servers"] == "b:1" and options["kafka.acks"] == "all"
+    assert jobs.publisher(jobs.arguments("ingest").parse_args(["--root", "r", "--files", "f"])) is None
+    with pytest.raises(SystemExit):
+        jobs.publisher(jobs.arguments("ingest").parse_args(["--root", "r", "--files", "f", "--publish", "mid"]))
