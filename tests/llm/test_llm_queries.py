@@ -13,6 +13,7 @@ import xxhash
 import __spark_entry__ as entry
 from ordertide.llm import catalog, oracle
 from oracle_check import compare, duck
+from test_resemblance import brute_pairs, brute_set
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = catalog.registered(), oracle.statements()
@@ -195,8 +196,12 @@ def test_pipeline_follows_brute_force(spark, encode):
     from ordertide.llm import secrets
 
     docs = [d for d in rows_of("documents") if any(ch.isalpha() for ch in d["text"] or "")]
-    _, roots = brute_components(docs)
-    kept = [d for d in docs if roots[d["doc_id"]] == d["doc_id"]]
+    sets, pairs = brute_pairs([d["text"] for d in docs])
+    group, least = union_find(range(len(sets)), pairs), {}
+    near = {d["doc_id"]: group[sets.index(brute_set(d["text"]))] for d in docs}
+    for doc_id, g in near.items():
+        least[g] = min(least.get(g, doc_id), doc_id)
+    kept = [d for d in docs if least[near[d["doc_id"]]] == d["doc_id"]]
     words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower(t or ""))
     windows = defaultdict(set)
     for item in rows_of("benchmark"):
