@@ -53,6 +53,12 @@ class Follower(DataSourceStreamReader):
         with store.open_input_stream(f"{base}/{name}") as stream:
             return int(stream.readall().decode() or 0)
 
+    def _write(self, name: str, number: int) -> None:
+        store, base = self._open()
+        store.create_dir(f"{base}/_followers", recursive=True)
+        with store.open_output_stream(f"{base}/{name}") as stream:
+            stream.write(str(number).encode())
+
     def committed(self) -> set[int]:
         return {int(name) for name in self._names("_commits") if name.isdigit()}
 
@@ -65,16 +71,19 @@ class Follower(DataSourceStreamReader):
         committed = self.committed()
         moving = {int(name[len(DRAFT):]) for name in self._names("") if name.startswith(DRAFT)} & committed
         latest = min(moving) - 1 if moving else max(committed, default=-1)
-        if self.reached is None and self.name:
-            self.reached = self._number(f"_followers/{self.name}")
-        if self.reached is not None:
-            latest = max(latest, self.reached)
-            if self.most:
-                latest = min(latest, self.reached + self.most)
+        if self.most:
+            # Spark may ask this before it says where the query stands. What was planned last is that place: a
+            # trigger that broke off is planned again before anything new is asked for.
+            if self.reached is None:
+                planned = self._number(f"_followers/.planned-{self.name}")
+                self.reached = (self._number("_kept_from") or 0) - 1 if planned is None else planned
+            latest = max(self.reached, min(latest, self.reached + self.most))
         return {BATCH: latest}
 
     def partitions(self, start: dict, end: dict) -> list[BatchFile]:
         self.reached = end[BATCH]
+        if self.most:
+            self._write(f"_followers/.planned-{self.name}", end[BATCH])
         kept_from = self._number("_kept_from") or 0
         if start[BATCH] + 1 < kept_from and end[BATCH] > start[BATCH]:
             raise ValueError(f"batches {start[BATCH] + 1} to {kept_from - 1} of {self.uri} are no longer kept")
@@ -99,10 +108,7 @@ class Follower(DataSourceStreamReader):
 
     def commit(self, end: dict) -> None:
         if self.name:
-            store, base = self._open()
-            store.create_dir(f"{base}/_followers", recursive=True)
-            with store.open_output_stream(f"{base}/_followers/{self.name}") as stream:
-                stream.write(str(end[BATCH]).encode())
+            self._write(f"_followers/{self.name}", end[BATCH])
 
 
 class BatchTables(DataSource):
@@ -134,6 +140,8 @@ def follow_batches(
     """
     from ordertide.sinks.tables import ensure_dir, qualified, stream_batches
 
+    if max_batches and not follower:
+        raise ValueError("a bound on batches needs a follower's name, under which its place is kept")
     uri = qualified(spark, ensure_dir(spark, path))
     full = T.StructType([*schema.fields, *([T.StructField(BATCH, T.LongType())] if with_number else [])])
     if not can_follow(uri):
