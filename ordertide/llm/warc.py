@@ -5,6 +5,9 @@ digest, and carry the digest of their own block. The conversion holds the visibl
 metadata record names status, type, title, link count and the conversion made from the same
 response. Ids are derived from the response's, so a second run gives the same records.
 
+Comments, scripts and styles that never close hide the rest of a page; a head, title, noscript or
+template without its closing tag hides nothing but the tag, so the page's text stays.
+
 A null html is an empty payload with an empty text; a null url leaves the target out. Repeated
 responses give the same records again. Records of very long pages are built one at a time.
 """
@@ -26,7 +29,12 @@ from ordertide.llm.common import bounded_batches
 
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
-HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b.*?(?:</\1\s*>|\Z)", re.I | re.S)
+MARK = re.compile(r"<!--|<(script|style|noscript|template|head|title)\b", re.I)
+#: Without their closing tag these hide the rest of the page; the others then hide nothing but their tag.
+RUN_ON = ("<!--", "script", "style")
+CLOSE = {"<!--": re.compile("-->")} | {
+    name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "head", "title")
+}
 TITLE = re.compile(r"<title\b[^<>]*>(.*?)(?:</title|\Z)", re.I | re.S)
 LINK = re.compile(r"<a\s[^<>]*?\bhref\s*=", re.I)
 BLOCK = re.compile(
@@ -48,9 +56,24 @@ def derived_id(source: str, kind: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source}#{kind}')}>"
 
 
+def without_hidden(page: str) -> str:
+    """The page without comments and elements that aren't shown. A closing tag that is missing is looked for once."""
+    parts, at, start, missing = [], 0, 0, set()
+    while mark := MARK.search(page, at):
+        name = (mark[1] or mark[0]).lower()
+        close = None if name in missing else CLOSE[name].search(page, mark.end())
+        if close or name in RUN_ON:
+            parts.append(page[start : mark.start()])
+            start = at = close.end() if close else len(page)
+        else:
+            missing.add(name)
+            at = mark.end()
+    return " ".join([*parts, page[start:]])
+
+
 def visible_text(page: str) -> str:
     """The text a reader sees, one line per block, white space collapsed."""
-    text = TAG.sub("", BLOCK.sub("\n", HIDDEN.sub(" ", page)))
+    text = TAG.sub("", BLOCK.sub("\n", without_hidden(page)))
     lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 

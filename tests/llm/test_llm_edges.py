@@ -171,6 +171,13 @@ def test_warc_records_read_back(spark):
 def test_open_quotes_and_tags_stay_cheap():
     assert len(warc.visible_text('<a "' * 100_000)) > 0
     assert warc.visible_text("a<script>b") == "a"
+    open_head = "<html><head><title>T</title><style>p {}</style><meta charset=x><body><p>Hello all</p><script>no</script>"
+    assert warc.visible_text(open_head) == "Hello all"
+    assert warc.visible_text(open_head.replace("<body>", "")) == "Hello all"
+    assert warc.visible_text(open_head.replace("<meta", "</head><meta")) == "Hello all"
+    assert warc.visible_text("<noscript>a<p>b<template>c") == "a\nbc"
+    assert warc.visible_text("a<!-- <head> -->b<HEAD>x</HEAD >c<!-- d") == "a b c"
+    assert warc.visible_text("<template>a" * 100_000) == "a" * 100_000
 
 
 # --- SimHash -----------------------------------------------------------------
