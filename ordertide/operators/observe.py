@@ -117,9 +117,9 @@ def failure_ratio(
 
 def slide_ratio(steps: DataFrame, width: str, slide: str, threshold: float) -> DataFrame:
     """Sliding sums over per-step counts. No messages at all gives a null ratio and no breach."""
-    sums = steps.groupBy(F.window("step", width, slide)["start"].alias("window_start")).agg(
+    sums = steps.groupBy(F.window("step", width, slide)).agg(
         F.sum("received").alias("received"), F.sum("failed").alias("failed")
-    )
+    ).select(F.col("window.start").alias("window_start"), "received", "failed")
     ratio = F.try_divide(F.col("failed").cast("double"), F.col("received").cast("double"))
     return sums.withColumn("ratio", ratio).withColumn(
         "breach", F.coalesce(F.col("ratio") > F.lit(threshold), F.lit(False)).cast("int")

@@ -238,6 +238,14 @@ hits AS (
          window_start - to_minutes(CAST(row_number() OVER (ORDER BY window_start) AS INTEGER)) AS island
   FROM rated WHERE breach = 1)
 SELECT min(window_start) AS run_start, max(window_start) AS run_end, count(*) AS buckets
+FROM hits GROUP BY island HAVING count(*) >= 5""",
+
+        "stream_alarms": _with(INGEST_LOG_SQL, _STEPS) + """,
+hits AS (
+  SELECT window_start,
+         window_start - to_minutes(CAST(row_number() OVER (ORDER BY window_start) AS INTEGER)) AS island
+  FROM rated WHERE breach = 1)
+SELECT min(window_start) AS run_start, max(window_start) AS run_end, count(*) AS buckets
 FROM hits GROUP BY island HAVING count(*) >= 5""",
 
         "outcome_balance": _with(INGEST_LOG_SQL) + """

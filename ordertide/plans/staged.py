@@ -19,6 +19,7 @@ from ordertide.sources.decode import decode_mid
 from ordertide.sources.batches import follow_batches
 from ordertide.sources.topic import read_message_files
 from ordertide.streaming.aggregate import MID_TOPIC, aggregate_stream, aggregate_writer, decoded_time, single_deliveries
+from ordertide.streaming.alarms import FIRING, RESOLVED, alarms_writer, closed_ratios, read_alarms
 from ordertide.streaming.claims import claims_writer
 from ordertide.streaming.ingest import IngestTables, first_orders, ingest_stream, ingest_writer, orders_writer
 from ordertide.streaming.runner import catch_up
@@ -186,6 +187,24 @@ def stream_dedup_late_partition(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("biz_type", "partition").agg(F.count(F.lit(1)).alias("kept_cnt"), F.sum("offset").alias("offset_sum"))
 
 
+def stream_alarms(spark: SparkSession, sf: str) -> DataFrame:
+    """M5: the ingest log in stages through the alarms query, which breaks off once per stage after its write."""
+    root = work_dir(spark, "alarms")
+    source, result = ensure_dir(spark, f"{root}/log"), f"{root}/alarms"
+    chunks = V.chunks_of(spark, sf, V.ingest_log_of)
+    schema = chunks[0].schema
+    last = spark.range(1).select(
+        F.lit(SENTINEL).cast("timestamp").alias("arrival_ts"), F.lit("evt-sentinel").alias("event_id"),
+        F.lit("persisted").alias("outcome"), F.lit(0).cast(schema["proc_ms"].dataType).alias("proc_ms"),
+    )
+    for log in [*chunks, last]:
+        _stage(log, source)
+        crash = _FailOnce("alarms", None)
+        stream = lambda: closed_ratios(read_message_files(spark, source, schema))
+        _until_done(lambda: catch_up(stream(), alarms_writer(result, after=crash), f"{root}/checkpoint"), crash)  # noqa: B023
+    return read_alarms(spark, result).where(F.col("state").isin(FIRING, RESOLVED)).drop("state")
+
+
 class _FailOnce:
     """Breaks off a batch after a given step, the first time only; no number means whichever comes."""
 

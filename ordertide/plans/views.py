@@ -313,12 +313,16 @@ INGEST_LOG_SQL = """ingest_log AS (
 
 
 def ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest_log_of(table(spark, sf_dir, "events"))
+
+
+def ingest_log_of(events: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     outcome = (
         F.when(kind == "error", "failed").when(kind == "signup", "duplicate")
         .when(kind == "view", "parse_error").otherwise("persisted")
     )
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("ts").cast("timestamp").alias("arrival_ts"),
         padded_id("evt-", F.col("event_id")).alias("event_id"),
         outcome.alias("outcome"),
