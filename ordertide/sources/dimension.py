@@ -8,6 +8,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordertide.session import work_dir
+
 # How long a looked-up customer may be reused, and how many rows
 # may be held next to every task.
 LOOKUP_TTL_SECONDS = 600
@@ -80,3 +82,55 @@ class DimProvider:
             self._dim = F.broadcast(fresh) if self.is_broadcast else fresh
             self._loaded_at = now
         return self._dim
+
+
+def keyed_loader(dim: Callable[[], DataFrame]) -> Callable[[DataFrame], DataFrame]:
+    """A loader of single customers from any table: the rows whose ``customer_id`` is asked for."""
+    return lambda keys: dim().join(keys, "customer_id", "left_semi")
+
+
+class PartialDimProvider:
+    """Holds only customers that events have named, each with an age of its own.
+
+    :meth:`get`, called inside ``foreachBatch``, asks the loader for those of the batch's keys that
+    aren't held or have reached ``ttl_seconds``. Keys the source lacks are held as misses, so they aren't asked for
+    again before that age. Of what is held, the ``max_rows`` loaded last stay for later batches; the
+    batch itself gets all its customers, however many. The loader returns one row per customer it finds.
+
+    What is held is a checkpoint in the shared folder, so neither lost executors nor the number of
+    batches make its lineage longer. Null keys are never asked for.
+    """
+
+    def __init__(
+        self,
+        loader: Callable[[DataFrame], DataFrame],
+        ttl_seconds: int = LOOKUP_TTL_SECONDS,
+        max_rows: int = LOOKUP_MAX_ROWS,
+    ):
+        self._loader = loader
+        self._ttl = timedelta(seconds=ttl_seconds)
+        self._max_rows = max_rows
+        self._held: DataFrame | None = None
+
+    def get(self, events: DataFrame, now: datetime) -> DataFrame:
+        """The dimension's rows of the customers in ``events``."""
+        wanted = _durable(events.select("customer_id").where("customer_id IS NOT NULL").distinct())
+        fresh = None if self._held is None else self._held.where(F.col("_loaded_at") > F.lit(now - self._ttl))
+        missing = wanted if fresh is None else _durable(wanted.join(fresh, "customer_id", "left_anti"))
+        known = fresh
+        if fresh is None or not missing.isEmpty():
+            found = self._loader(missing).withColumn("_found", F.lit(True))
+            loaded = missing.join(found, "customer_id", "left").withColumn("_loaded_at", F.lit(now))
+            loaded = _durable(loaded.withColumn("_found", F.coalesce("_found", F.lit(False))))
+            known = loaded if fresh is None else fresh.unionByName(loaded)
+            self._held = _durable(known.orderBy(F.desc("_loaded_at"), "customer_id").limit(self._max_rows))
+        rows = known.where("_found").join(wanted, "customer_id", "left_semi")
+        return rows.drop("_found", "_loaded_at")
+
+
+def _durable(df: DataFrame) -> DataFrame:
+    """``df``, computed once into the shared checkpoint folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(work_dir(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
