@@ -337,6 +337,10 @@ def test_chat_examples(spark):
         if r.conv_id == 1:
             assert (r.context + r.target) in back[1].formatted and r.context.endswith("assistant\n")
     assert full[-1].context.count("<|im_start|>") == 2
+    loss = lambda rows: {r.conv_id: r.loss for r in chat.read_back(rows).collect()}
+    assert any(loss(examples).values())
+    for column in ("context_chars", "n_context_turns"):
+        assert not any(loss(examples.withColumn(column, F.col(column) + 1)).values())
     assert chat.digest(chat.expand(turns.limit(0))).count() == 0
 
 
