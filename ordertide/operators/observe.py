@@ -115,6 +115,13 @@ def failure_ratio(
     return slide_ratio(steps, width, slide, threshold)
 
 
+def minute_counts(log: DataFrame) -> DataFrame:
+    """Messages per minute of arrival and how many of them failed: what the sliding ratio needs of a log."""
+    return log.groupBy(_minute().alias("arrival_ts")).agg(
+        F.count(F.lit(1)).alias("received"), F.count_if(F.col("outcome") == "failed").alias("failed")
+    )
+
+
 def slide_ratio(steps: DataFrame, width: str, slide: str, threshold: float) -> DataFrame:
     """Sliding sums over per-step counts. No messages at all gives a null ratio and no breach."""
     sums = steps.groupBy(F.window("step", width, slide)).agg(

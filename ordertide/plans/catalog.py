@@ -315,7 +315,7 @@ QUERIES: dict[str, Query] = {
         reconcile_detail_vs_agg,
         staged.stream_agg_1min, staged.restart_agg_no_dup, staged.stream_agg_mid_twice, staged.stream_dedup, staged.restart_no_dup, staged.replay_no_growth,
         staged.restart_mid_follow, staged.stream_order_facts, staged.stream_dedup_late_partition, staged.stream_daily,
-        staged.stream_alarms,
+        staged.stream_alarms, staged.stream_enriched, staged.stream_late_rows, staged.job_minutes,
         step_p95, order_violations, reconcile_digests,
     )
 }

@@ -320,6 +320,31 @@ SELECT strftime(window_start, '%Y-%m-%d') AS stat_date, biz_type,
        CAST(sum(order_cnt) AS BIGINT) AS order_cnt, CAST(sum(amount_sum) AS DOUBLE) AS amount_sum
 FROM agg GROUP BY 1, 2""",
 
+        "stream_enriched": _with(SRC_EVENTS_SQL, DIM_CUSTOMER_SQL) + """
+SELECT customer_id, event_id, biz_type, CAST(amount AS DOUBLE) AS amount,
+       date_trunc('millisecond', event_time) AS event_time,
+       level AS customer_level, region AS customer_region
+FROM src_events LEFT JOIN dim_customer USING (customer_id)""",
+
+        "stream_late_rows": _with(SRC_EVENTS_SQL, """ends AS (SELECT min(ts) AS lo, max(ts) AS hi FROM events),
+cuts AS (
+  SELECT lo + to_microseconds(CAST(round(epoch_us(hi) - epoch_us(lo)) / 3 AS BIGINT)) AS first_cut,
+         lo + to_microseconds(CAST(round((epoch_us(hi) - epoch_us(lo)) * 2) / 3 AS BIGINT)) AS last_cut,
+         hi - INTERVAL 15 DAY AS watermark
+  FROM ends),
+counted AS (
+  SELECT src_events.* FROM src_events, cuts
+  WHERE event_time < first_cut OR event_time >= last_cut
+     OR date_trunc('minute', event_time) + INTERVAL 1 MINUTE > watermark)""") + f"""
+SELECT strftime({_MINUTE}, '%Y-%m-%d') AS stat_date, biz_type,
+       count(*) AS order_cnt, CAST(CAST(coalesce(sum(amount), 0) AS DECIMAL(18,4)) AS DOUBLE) AS amount_sum
+FROM counted GROUP BY 1, 2""",
+
+        "job_minutes": _CLAIMS + f"""
+SELECT {_MINUTE} AS window_start, biz_type, customer_id, count(*) AS order_cnt,
+       CAST(CAST(coalesce(sum(amount), 0) AS DECIMAL(18,4)) AS DOUBLE) AS amount_sum
+FROM claims GROUP BY ALL""",
+
         "step_p95": _with(INGEST_LOG_SQL) + """
 SELECT outcome AS step, count(*) AS samples, round(quantile_cont(proc_ms, 0.95), 6) AS p95_ms FROM ingest_log GROUP BY 1""",
 

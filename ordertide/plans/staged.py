@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ordertide import schemas as S
-from ordertide.operators.aggregate import agg_windowed, complete_events, table_counts
+from ordertide.operators.aggregate import agg_windowed, complete_events, rollup_daily, table_counts
 from ordertide.operators.checks import growth
 from ordertide.operators.dedup import dedup_stream
 from ordertide.operators.wire import to_wire
@@ -17,8 +17,10 @@ from ordertide.session import work_dir
 from ordertide.sinks.tables import ensure_dir, read_batches, read_latest, stream_batches, write_batch
 from ordertide.sources.decode import decode_mid
 from ordertide.sources.batches import follow_batches
+from ordertide.sources.dimension import PartialDimProvider, keyed_loader
 from ordertide.sources.topic import read_message_files
-from ordertide.streaming.aggregate import MID_TOPIC, aggregate_stream, aggregate_writer, decoded_time, single_deliveries
+from ordertide.streaming import jobs
+from ordertide.streaming.aggregate import MID_TOPIC, aggregate_stream, aggregate_writer, decoded_time, lookup_writer, single_deliveries
 from ordertide.streaming.alarms import FIRING, RESOLVED, alarms_writer, closed_ratios, read_alarms
 from ordertide.streaming.claims import claims_writer
 from ordertide.streaming.ingest import IngestTables, first_orders, ingest_stream, ingest_writer, orders_writer
@@ -26,6 +28,8 @@ from ordertide.streaming.runner import catch_up
 
 # An event this late closes every real minute; it is filtered out of the result.
 SENTINEL = "2100-01-01 00:00:00"
+# How long minutes stay open in the query about late rows: longer than one stage, shorter than two.
+LATENESS = "15 days"
 
 
 def _stage(messages: DataFrame, path: str) -> None:
@@ -205,6 +209,49 @@ def stream_alarms(spark: SparkSession, sf: str) -> DataFrame:
     return read_alarms(spark, result).where(F.col("state").isin(FIRING, RESOLVED)).drop("state")
 
 
+def stream_enriched(spark: SparkSession, sf: str) -> DataFrame:
+    """Mid messages in stages; a batch loads only customers that aren't held, and breaks off once per stage after its write."""
+    root = work_dir(spark, "enriched")
+    source, result = ensure_dir(spark, f"{root}/mid"), f"{root}/enriched"
+    dims = PartialDimProvider(keyed_loader(lambda: V.dim_customer(spark, sf)))
+    for messages in _mid_stages(spark, sf)[:-1]:
+        _stage(messages, source)
+        crash = _FailOnce("enriched", None)
+        events = lambda: decode_mid(read_message_files(spark, source, S.WIRE))
+        _until_done(lambda: catch_up(events(), lookup_writer(result, dims, after=crash), f"{root}/checkpoint"), crash)  # noqa: B023
+    return read_batches(spark, result, S.ENRICHED).select(*[c for c in S.ENRICHED.names if c != "biz_key"])
+
+
+def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The first and the last stage, then the middle one: of its events only those of minutes that are
+    still open count. Per kind and day, what was counted."""
+    root = work_dir(spark, "late-rows")
+    source, result = ensure_dir(spark, f"{root}/mid"), f"{root}/agg"
+    first, middle, last, end = _mid_stages(spark, sf)
+    for messages in (first, last, middle, end):
+        _stage(messages, source)
+        minutes = agg_windowed(complete_events(decode_mid(read_message_files(spark, source, S.WIRE))), delay=LATENESS)
+        catch_up(minutes, aggregate_writer(result), f"{root}/checkpoint", tables=[result])
+    return rollup_daily(_minutes(spark, result))
+
+
+def job_minutes(spark: SparkSession, sf: str) -> DataFrame:
+    """V1: raw messages through both jobs, started again when the last message has come, to stored minutes."""
+    root = work_dir(spark, "jobs")
+    source = ensure_dir(spark, f"{root}/raw")
+    value = ('{"eventId":"evt-sentinel","bizType":"NONE","bizKey":"none-0","customerId":0,"amount":"0",'
+             f'"eventTime":"{SENTINEL}"}}')
+    events = V.src_events(spark, sf)
+    sentinel = events.agg(F.max("arrival_ts").alias("arrival_ts")).select(
+        F.lit(value).alias("value"), F.lit(0).alias("partition"), F.lit(-1).cast("bigint").alias("offset"), "arrival_ts"
+    )
+    for messages in (V.raw_messages(events), sentinel):
+        _stage(messages, source)
+        jobs.ingest(["--root", root, "--files", source, "--every", "0"], spark)
+        jobs.aggregate(["--root", root, "--every", "0"], spark)
+    return _minutes(spark, f"{root}/agg")
+
+
 class _FailOnce:
     """Breaks off a batch after a given step, the first time only; no number means whichever comes."""
 

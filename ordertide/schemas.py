@@ -40,6 +40,11 @@ EVENT = _struct(
     ("event_time", T.TimestampType()),
 )
 
+# A mid event with what the dimension says of its customer.
+ENRICHED = T.StructType([
+    *EVENT.fields, T.StructField("customer_level", T.StringType()), T.StructField("customer_region", T.StringType()),
+])
+
 # Mid events that the result key cannot hold, with the names of what they lack.
 SET_ASIDE = T.StructType([*EVENT.fields, T.StructField("missing", T.StringType())])
 
@@ -117,6 +122,13 @@ INGEST_LOG = _struct(
     ("proc_ms", T.DoubleType()),
 )
 
+# What a batch logged per minute of arrival, for the alarms query to follow.
+LOG_MINUTE = _struct(
+    ("arrival_ts", T.TimestampType()),
+    ("received", T.LongType()),
+    ("failed", T.LongType()),
+)
+
 # One step of the work on a batch, or one phase of it as Spark reports it.
 STEP_LOG = _struct(
     ("query", T.StringType()),

@@ -25,6 +25,10 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Settings of the whole application, only at its start: a job that goes on for ever gives back the checkpoints
+# that nothing refers to any more.
+LAUNCH_CONF = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that someone else has built."""
@@ -38,7 +42,7 @@ def build_session(app_name: str = "ordertide", master: str | None = None, **conf
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **LAUNCH_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordertide import schemas as S
 from ordertide.session import work_dir
 
 # How long a looked-up customer may be reused, and how many rows
@@ -84,6 +85,11 @@ class DimProvider:
         return self._dim
 
 
+def read_dimension_files(spark: SparkSession, path: str) -> DataFrame:
+    """S3: the dimension as Parquet files, one row per ``customer_id``; files are listed anew at each call."""
+    return spark.read.schema(S.CUSTOMER).parquet(path).select("customer_id", "name", "level", "region", "updated_at")
+
+
 def keyed_loader(dim: Callable[[], DataFrame]) -> Callable[[DataFrame], DataFrame]:
     """A loader of single customers from any table: the rows whose ``customer_id`` is asked for."""
     return lambda keys: dim().join(keys, "customer_id", "left_semi")

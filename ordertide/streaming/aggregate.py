@@ -16,7 +16,7 @@ from ordertide.operators.enrich import enrich
 from ordertide.operators.upsert import latest_wins
 from ordertide.sinks.tables import merge_tiers, read_latest, upsert_batch, write_batch
 from ordertide.sources.decode import decode_mid
-from ordertide.sources.dimension import DimProvider
+from ordertide.sources.dimension import DimProvider, PartialDimProvider
 from ordertide.streaming.ingest import MERGE_EVERY
 from ordertide.streaming.runner import BatchWriter
 
@@ -132,3 +132,28 @@ def enriched_writer(
         write_batch(enrich(batch, dim, salt=0 if dims.is_broadcast else salt), path, batch_id)
 
     return write
+
+
+def lookup_writer(
+    path: str,
+    dims: PartialDimProvider,
+    clock: Callable[[], datetime] = lambda: datetime.now(timezone.utc),
+    after: Callable[[str, int], None] = lambda step, batch_id: None,
+    merge_every: int = MERGE_EVERY,
+) -> BatchWriter:
+    """Write enriched events; only customers that a batch names, and that aren't held or are too old, are loaded.
+
+    An event whose customer is null or unknown keeps null columns. A batch that is run again looks its
+    customers up again, but its committed files stay as they are. ``after`` is called when the write is done.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        merge_tiers(batch.sparkSession, path, batch_id, S.ENRICHED, merge_every)
+        events = batch.persist()
+        try:
+            write_batch(enrich(events, dims.get(events, clock())).select(*S.ENRICHED.names), path, batch_id)
+            after("enriched", batch_id)
+        finally:
+            events.unpersist()
+
+    return write

@@ -34,6 +34,17 @@ def closed_ratios(
     return slide_ratio(steps.select(F.window_time("window").alias("step"), "received", "failed"), width, slide, threshold)
 
 
+def closed_count_ratios(
+    counts: DataFrame, width: str = "5 minutes", slide: str = MINUTE, threshold: float = 0.01, delay: str = MINUTE
+) -> DataFrame:
+    """The same from the counts per minute that each ingest batch leaves (``observe.minute_counts``): a minute
+    may come in several rows. ``slide`` is one minute or a multiple of it."""
+    steps = counts.withWatermark("arrival_ts", delay).groupBy(F.window("arrival_ts", slide)).agg(
+        F.sum("received").alias("received"), F.sum("failed").alias("failed")
+    )
+    return slide_ratio(steps.select(F.window_time("window").alias("step"), "received", "failed"), width, slide, threshold)
+
+
 def alarm_schema(key_fields: Sequence[T.StructField] = ()) -> T.StructType:
     times = [T.StructField(c, T.TimestampType()) for c in ("run_start", "run_end")]
     return T.StructType([*key_fields, *times, T.StructField("buckets", T.LongType()), T.StructField("state", T.StringType())])

@@ -16,10 +16,11 @@ from ordertide.operators.dedup import (
     ARRIVAL_ORDER, CLAIM_ORDER, LEDGER_HORIZON, anti_existing_narrow, first_per_key, near_claims, span_of, unblocked,
 )
 from ordertide.operators.facts import to_order_row
+from ordertide.operators.observe import minute_counts
 from ordertide.operators.upsert import rejects
 from ordertide.operators.wire import to_wire
 from ordertide.sinks.tables import (
-    batch_note, drop_days, forget_followed, merge_tiers, read_batches, write_batch,
+    BATCH, batch_note, drop_days, forget_followed, merge_tiers, read_batches, write_batch,
 )
 from ordertide.sources.decode import accepted, decode_raw
 from ordertide.streaming.runner import BatchWriter
@@ -64,8 +65,12 @@ class IngestTables:
     def log(self) -> str:
         return f"{self.root}/log"
 
+    @property
+    def log_minutes(self) -> str:
+        return f"{self.root}/log-minutes"
+
     def all(self) -> tuple[str, ...]:
-        return self.ledger, self.orders, self.order_writes, self.mid, self.rejects, self.log, self.steps
+        return self.ledger, self.orders, self.order_writes, self.mid, self.rejects, self.log, self.log_minutes, self.steps
 
     def merged(self, orders_here: bool = True) -> dict[str, tuple[T.StructType, tuple[str, ...]]]:
         """Tables of the ingest query that no stream follows, whose small batches may be put together: schema and partitioning."""
@@ -77,7 +82,7 @@ class IngestTables:
 
     def followed(self) -> tuple[str, ...]:
         """Tables that other queries follow and that are forgotten behind them."""
-        return self.mid, self.order_writes
+        return self.mid, self.order_writes, self.log_minutes
 
 
 def ingest_stream(messages: DataFrame) -> DataFrame:
@@ -207,6 +212,9 @@ def ingest_writer(
                 write_batch(rows, tables.rejects, batch_id)
             with steps.step("log", outcomes(decoded, claims, now, clock())) as rows:
                 write_batch(rows, tables.log, batch_id)
+            with steps.step("log_minutes"):
+                logged = read_batches(spark, tables.log, S.INGEST_LOG).filter(F.col(BATCH) == batch_id)
+                write_batch(minute_counts(logged), tables.log_minutes, batch_id)
             write_batch(steps.rows(spark, progress), tables.steps, batch_id)
             after("log", batch_id)
         finally:

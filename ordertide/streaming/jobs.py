@@ -13,8 +13,11 @@ from ordertide.session import build_session
 from ordertide.sinks.tables import forget_followed, merge_tiers, write_batch
 from ordertide.sinks.topic import write_topic
 from ordertide.sources.batches import follow_batches
+from ordertide.sources.decode import decode_mid
+from ordertide.sources.dimension import PartialDimProvider, keyed_loader, read_dimension_files
 from ordertide.sources.topic import TopicConfig, read_message_files, read_topic
-from ordertide.streaming.aggregate import aggregate_stream, aggregate_writer, set_aside_stream, single_deliveries
+from ordertide.streaming.aggregate import aggregate_stream, aggregate_writer, lookup_writer, set_aside_stream, single_deliveries
+from ordertide.streaming.alarms import alarms_writer, closed_count_ratios
 from ordertide.streaming.ingest import MERGE_EVERY, IngestTables, first_orders, ingest_stream, ingest_writer, orders_writer
 from ordertide.streaming.runner import BatchWriter, run_query
 from ordertide.streaming.steps import ProgressLog
@@ -32,6 +35,7 @@ def arguments(job: str) -> argparse.ArgumentParser:
     parser.add_argument("--topic", help="topic to read")
     parser.add_argument("--files", help="folder of Parquet message files to follow")
     parser.add_argument("--publish", help="topic that ingest sends mid messages to, in place of the mid table")
+    parser.add_argument("--dimension", help="folder of Parquet customers; aggregate then also keeps enriched events")
     parser.add_argument("--every", type=int, default=EVERY_SECONDS, help="seconds between batches; 0: take what is there and stop")
     return parser
 
@@ -51,7 +55,8 @@ def _wait(queries: Sequence[StreamingQuery], once: bool) -> None:
 
 
 def ingest(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
-    """Raw messages to ledger, orders, mid table or topic, set-aside messages and logs; a second query stores the orders."""
+    """Raw messages to ledger, orders, mid table or topic, set-aside messages and logs; a second query stores the orders,
+    a third keeps the alarms on the share of failed messages."""
     args = arguments("ingest").parse_args(argv)
     spark = spark or build_session("ingest")
     messages = _messages(spark, args)
@@ -74,6 +79,10 @@ def ingest(argv: Sequence[str] | None = None, spark: SparkSession | None = None)
             first_orders(writes), orders_writer(tables.orders), f"{args.root}/checkpoints/orders", mode="update", every_seconds=every,
             tables=[tables.orders],
         ))
+        alarms, counts = f"{args.root}/alarms", follow_batches(spark, tables.log_minutes, S.LOG_MINUTE, "alarms", _most(args))
+        queries.append(run_query(
+            closed_count_ratios(counts), alarms_writer(alarms), f"{args.root}/checkpoints/alarms", every_seconds=every, tables=[alarms],
+        ))
         _wait(queries, not every)
     finally:
         spark.streams.removeListener(progress)
@@ -97,7 +106,8 @@ def _most(args: argparse.Namespace) -> int | None:
 def aggregate(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     """Mid events to minutes and days, kept up to date batch by batch, and those the result can't hold to ``aside``.
 
-    Follows the ingest job's mid table; with a topic, repeated deliveries are taken out first.
+    Follows the ingest job's mid table; with a topic, repeated deliveries are taken out first. With
+    ``--dimension`` a query of its own looks the customers up and keeps the events in ``enriched``.
     """
     args = arguments("aggregate").parse_args(argv)
     spark, root, every = spark or build_session("aggregate"), args.root, args.every or None
@@ -121,4 +131,10 @@ def aggregate(argv: Sequence[str] | None = None, spark: SparkSession | None = No
     minutes = aggregate_writer(f"{root}/agg", daily=f"{root}/daily")
     queries.append(run_query(aggregate_stream(mid("agg")), minutes, f"{root}/checkpoints/agg", every_seconds=every))
     queries.append(run_query(set_aside_stream(mid("aside")), aside, f"{root}/checkpoints/aside", every_seconds=every))
+    if args.dimension:
+        dims = PartialDimProvider(keyed_loader(lambda: read_dimension_files(spark, args.dimension)))
+        enriched = f"{root}/enriched"
+        queries.append(run_query(
+            decode_mid(mid("enriched")), lookup_writer(enriched, dims), f"{root}/checkpoints/enriched", every_seconds=every, tables=[enriched],
+        ))
     _wait(queries, not args.every)
