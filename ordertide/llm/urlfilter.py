@@ -9,7 +9,8 @@ enter a shuffle.
 
 A null url, or one without ``://``, has an empty host and path, fits no rule and is on no
 list, so it is allowed. Repeated rows are judged each on its own. Listed urls may repeat or
-be null. All other columns pass through.
+be null. Columns named host, path, rule or verdict are replaced by the results; all others pass
+through. No pages give no rows, and an empty list blocks nothing.
 """
 
 from __future__ import annotations

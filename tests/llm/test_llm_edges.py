@@ -234,6 +234,12 @@ def test_urls(spark):
     assert (got[1].host, got[1].path, got[1].rule) == ("sub.example.net", "/en/1", "example.net/en/")
     assert (got[6].host, got[6].path) == ("h", "") and got[4].host == "" and got[0].block == "keep"
     assert urlfilter.judge(pages.limit(0), listed).count() == 0
+    clash = pages
+    for name in ("host", "path", "rule", "verdict", "canonical", "w0"):
+        clash = clash.withColumn(name, F.lit("mine"))
+    again = {r.page_id: r for r in urlfilter.judge(clash, listed).collect()}
+    assert all(tuple(again[k][c] for c in ("host", "path", "rule", "verdict")) == tuple(r[c] for c in ("host", "path", "rule", "verdict")) for k, r in got.items())
+    assert {(r.block, r.canonical, r.w0) for r in again.values()} == {("keep", "mine", "mine")}
     assert {r.verdict for r in urlfilter.judge(pages, listed.limit(0)).where("rule is null").collect()} == {"allow"}
 
 
