@@ -7,7 +7,8 @@ backslash restores it, so escaping is reversible and leaves all other text alone
 ``expand`` gives one row per assistant turn. Its context would repeat all earlier turns, which
 for one long conversation is its length squared; so a row holds only what it adds to the
 example before (``delta``) and how many characters of earlier deltas stand before it
-(``context_chars``). ``materialise`` writes the context out where that is wanted. Turns after the
+(``context_chars``). ``materialise`` writes each example out with its whole context, and ``read_back`` reads
+the examples so written. Turns after the
 last assistant turn form a last row without a target, so that nothing of a conversation is lost.
 
 Order: by turn, then role, then text; null turns come first. A null role counts as empty, so
@@ -20,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ordertide.llm.common import durable
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: Control strings of this and of other common templates, without their first character.
 REST = r"((?:\|im_start\||\|im_end\||\|endoftext\||/?s)>|/?INST\])"
@@ -82,38 +85,57 @@ def expand(turns: DataFrame) -> DataFrame:
 
 
 def materialise(examples: DataFrame) -> DataFrame:
-    """Examples with their whole context written out: (conv_id, example, context, target)."""
-    deltas = examples.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("example", "delta"))).alias("_all"))
-    joined = examples.where("target_start is not null").join(deltas, examples["conv_id"].eqNullSafe(deltas["conv_id"])).drop(deltas["conv_id"])
-    earlier = F.array_join(F.transform(F.slice("_all", F.lit(1), F.col("example")), lambda d: d["delta"]), "")
-    d = F.col("delta")
-    return joined.select(
+    """Examples with their whole context written out: (conv_id, example, context, target), then the example's
+    pointers (``target_start``, ``context_chars``, ``n_context_turns``) and whether it is its conversation's ``last``.
+
+    Each example meets the deltas of the examples before it by a join, so no row holds more than one
+    example; the text written out grows as the square of a conversation's length, as contexts do.
+    """
+    last = F.col("example") == F.max("example").over(Window.partitionBy("conv_id"))
+    targets = examples.where("target_start is not null").select(
+        "conv_id", "example", F.col("delta").alias("_own"), "target_start", "target_chars", "context_chars", "n_context_turns",
+        last.alias("last"),
+    )
+    deltas = examples.select(F.col("conv_id").alias("_conv"), F.col("example").alias("_at"), F.col("delta").alias("_delta"))
+    met = targets.join(deltas, targets["conv_id"].eqNullSafe(deltas["_conv"]) & (F.col("_at") < F.col("example")), "left")
+    keys = ["conv_id", "example", "_own", "target_start", "target_chars", "context_chars", "n_context_turns", "last"]
+    grouped = met.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.when(F.col("_at").isNotNull(), F.struct("_at", "_delta")))).alias("_all")
+    )
+    earlier = F.array_join(F.transform("_all", lambda d: d["_delta"]), "")
+    d = F.col("_own")
+    return grouped.select(
         "conv_id", "example",
         F.concat(earlier, F.substring(d, F.lit(1), F.col("target_start"))).alias("context"),
         F.substring(d, F.col("target_start") + 1, F.col("target_chars")).alias("target"),
+        "target_start", "context_chars", "n_context_turns", "last",
     )
 
 
 def read_back(examples: DataFrame) -> DataFrame:
     """What the formatted examples of each conversation say: its turns and the text under the loss mask.
 
-    A reply is read only behind a whole context: the deltas before it must have as many characters as its example
-    points to, and with its own delta as many turns.
+    Examples are read as written out by ``materialise``, each with its whole context. A reply is read only behind
+    a whole context: one of as many characters as its example points to, and of as many turns. The turns are read
+    from the last example and the turns after its reply; of the other examples only replies go on.
     """
-    d = F.col("delta")
-    ends = F.size(F.split(d, r"<\|im_end\|>\n", -1)) - 1
-    before = Window.partitionBy("conv_id").orderBy("example").rowsBetween(Window.unboundedPreceding, -1)
-    placed = examples.withColumns({
-        "_chars": F.coalesce(F.sum(F.length(d)).over(before), F.lit(0)), "_turns": F.coalesce(F.sum(ends).over(before), F.lit(0)),
-    })
-    behind = (F.col("_chars") == F.col("context_chars")) & (F.col("_turns") + ends == F.col("n_context_turns") + 1)
-    target = F.when(behind, F.substring(d, F.col("target_start") + 1, F.col("target_chars")))
-    whole = placed.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("example", "delta", F.coalesce(unescape(target), F.lit("")).alias("target")))).alias("e")
+    examples = durable(examples)
+    full = materialise(examples)
+    ends = F.size(F.split("context", r"<\|im_end\|>\n", -1)) - 1
+    whole = (F.length("context") == F.col("context_chars") + F.col("target_start")) & (ends == F.col("n_context_turns"))
+    checked = full.select(
+        "conv_id", "example", F.when(whole, unescape(F.col("target"))).otherwise(F.lit("")).alias("target"),
+        F.when(F.col("last"), F.concat("context", "target", F.lit(END))).alias("_said"),
+    )
+    read = checked.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("example", "target"))).alias("e"), F.max("_said").alias("_said"),
+    )
+    rest = examples.where("target_start is null").select(F.col("conv_id").alias("_conv"), F.col("delta").alias("_rest"))
+    joined = read.join(rest, read["conv_id"].eqNullSafe(rest["_conv"]), "full").select(
+        F.when(F.col("e").isNotNull(), F.col("conv_id")).otherwise(F.col("_conv")).alias("conv_id"),
+        F.concat(F.coalesce("_said", F.lit("")), F.coalesce("_rest", F.lit(""))).alias("formatted"),
+        F.coalesce(F.array_join(F.transform("e", lambda x: x["target"]), ""), F.lit("")).alias("loss"),
     )
-    text = F.array_join(F.transform("e", lambda x: x["delta"]), "")
-    loss = F.array_join(F.transform("e", lambda x: x["target"]), "")
-    marked = whole.select("conv_id", text.alias("formatted"), loss.alias("loss"))
     parts = F.slice(F.split("formatted", r"<\|im_end\|>\n", -1), 1, F.size(F.split("formatted", r"<\|im_end\|>\n", -1)) - 1)
 
     def read(part: Column) -> Column:
@@ -121,7 +143,7 @@ def read_back(examples: DataFrame) -> DataFrame:
         role = F.substring(line, F.lit(len(START) + 1), F.length(line))
         return F.struct(unescape_role(role).alias("role"), unescape(F.substring(part, F.length(line) + 2, F.length(part))).alias("text"))
 
-    return marked.select("conv_id", F.transform(parts, read).alias("turns"), "loss", "formatted")
+    return joined.select("conv_id", F.transform(parts, read).alias("turns"), "loss", "formatted")
 
 
 def digest(examples: DataFrame) -> DataFrame:

@@ -460,3 +460,14 @@ def test_embedding_dedup_matches_brute_force(spark):
         assert sorted(((r.vec_id, r.n_links, r.component_id) for r in found), key=str) == wanted
         assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in found)
     assert pcadedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_chat_read_back_reads_the_written_examples(spark, monkeypatch):
+    import hashlib
+
+    turns = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "r"), (1, 3, "assistant", "b")], TURNS)
+    examples = chat.expand(turns)
+    written_out = chat.materialise
+    monkeypatch.setattr(chat, "materialise", lambda e: written_out(e).withColumn("target", F.upper("target")))
+    r = chat.digest(examples).first()
+    assert r.loss_chars == 2 and r.loss_sha256 == hashlib.sha256(b"AB").hexdigest()
